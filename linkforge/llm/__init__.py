@@ -1,0 +1,11 @@
+"""Operators of a training-data pipeline: mixing, tokenising, joining, filtering, archiving,
+searching, sharding and deduplicating documents and vectors.
+
+Functions that run on executors are sent by value, so that executors need not have this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
