@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .bpe import round_trip
+from .common import n_words, table
 from .embedding_dedup import near_duplicates
+from .mixing import mix, quality_weight
 from .sharding import shard_rows
 from .topk import top_k
 from .warc import warc_round_trip
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def weighed(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs with size (words) and weight (by the quality label, where there is one)."""
+    quality = labels.groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("label_quality"))
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    return sized.join(quality, F.col("doc_id") == F.col("labelled"), "left").select("doc_id", "source", "size", quality_weight(F.col("label_quality")).alias("weight"))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = weighed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mix(docs, weights=(3, 1, 2), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
@@ -31,9 +55,25 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_warc, op6_topk, op7_sharding, op10_embedding_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op5_warc, op6_topk, op7_sharding, op10_embedding_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": """
+        WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
+             d AS (SELECT d.doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+                   -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+                   / (CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END) AS key
+                   FROM documents d LEFT JOIN q ON q.doc_id = d.doc_id),
+             s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
+             w AS (SELECT *, CAST([3, 1, 2][(sid - 1) % 3 + 1] AS DOUBLE) AS w, source_size * 2.0::DOUBLE AS cap FROM s),
+             l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
+                   FROM w WINDOW o AS (ORDER BY cap / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+             t AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(level, (cap / w, sid)) FROM l WHERE level * w <= cap)) AS target FROM l),
+             b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+             p AS (SELECT d.*, source_size, target, epochs, floor(target - epochs * source_size + 0.5)
+                   - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_
+                   FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(epochs * size + greatest(least(left_, size), 0) AS BIGINT) AS taken FROM p""",
     "op5_warc": """
         WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
              f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
