@@ -12,6 +12,7 @@ from .common import n_words, table
 from .embedding_dedup import near_duplicates
 from .mixing import mix, quality_weight
 from .sharding import shard_rows
+from .substring_dedup import dedup
 from .topk import top_k
 from .warc import warc_round_trip
 
@@ -51,11 +52,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(table(spark, sf_dir, "documents"), window=50)
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op5_warc, op6_topk, op7_sharding, op10_embedding_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
@@ -87,6 +92,16 @@ ORACLE_SQL: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op8_substring_dedup": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+             n AS (SELECT doc_id, ws, unnest(range(1, CAST(len(ws) - 48 AS BIGINT))) AS i FROM w WHERE len(ws) >= 50),
+             g AS MATERIALIZED (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h FROM n),
+             f AS (SELECT h, min(doc_id) AS first_id FROM g GROUP BY h),
+             c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM g JOIN f ON g.h = f.h WHERE first_id < doc_id),
+             r AS (SELECT doc_id, list(j) AS js FROM c GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(array_to_string(CASE WHEN js IS NULL THEN ws ELSE list_transform(list_filter(list_zip(ws, range(1, CAST(len(ws) + 1 AS BIGINT))), lambda x: NOT list_contains(js, x[2])), lambda x: x[1]) END, ' '), '')) AS kept_sha256
+        FROM w LEFT JOIN r ON r.doc_id = w.doc_id""",
     "op10_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
                    WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
