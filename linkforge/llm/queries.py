@@ -11,6 +11,7 @@ from .bpe import round_trip
 from .common import n_words, table
 from .embedding_dedup import near_duplicates
 from .mixing import mix, quality_weight
+from .ngram_join import jaccard_components
 from .sharding import shard_rows
 from .substring_dedup import dedup
 from .topk import top_k
@@ -39,6 +40,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
@@ -60,7 +65,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
@@ -79,6 +84,20 @@ ORACLE_SQL: dict[str, str] = {
                    - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_
                    FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
         SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(epochs * size + greatest(least(left_, size), 0) AS BIGINT) AS taken FROM p""",
+    "op3_ngram_join": """
+        WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+             s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, CAST(len(w) - 1 AS BIGINT)), lambda i: array_to_string(w[i:i + 2], ' '))) END AS x FROM t),
+             g AS MATERIALIZED (SELECT DISTINCT x, sha256(array_to_string(list_sort(x), chr(10))) AS h FROM s WHERE len(x) > 0),
+             r AS MATERIALIZED (SELECT h, any_value(len(x)) AS n, any_value(x) AS x FROM g GROUP BY h),
+             e AS MATERIALIZED (SELECT h, n, unnest(x) AS y FROM r),
+             c AS (SELECT a.h AS a, b.h AS b, count(*) AS i, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.y = b.y AND a.h < b.h AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
+             l AS MATERIALIZED (SELECT a, b FROM c WHERE 100 * i >= 90 * (na + nb - i)), both_ AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+             d AS MATERIALIZED (SELECT doc_id, len(x) AS n, CASE WHEN len(x) > 0 THEN sha256(array_to_string(list_sort(x), chr(10))) END AS h FROM s),
+             m AS MATERIALIZED (SELECT h, min(doc_id) AS id FROM d WHERE h IS NOT NULL GROUP BY h),
+             p AS (SELECT h, id FROM m UNION SELECT both_.b, p.id FROM p JOIN both_ ON both_.a = p.h),
+             q AS (SELECT h, min(id) AS id FROM p GROUP BY h)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(q.id, doc_id) AS component_id FROM d LEFT JOIN q ON q.h = d.h""",
     "op5_warc": """
         WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
              f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
