@@ -15,6 +15,7 @@ from .ngram_join import jaccard_components
 from .sharding import shard_rows
 from .substring_dedup import dedup
 from .topk import top_k
+from .toxicity import toxicity
 from .warc import warc_round_trip
 
 
@@ -44,6 +45,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
@@ -65,7 +70,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op4_toxicity, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
