@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -31,3 +32,9 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: floa
 
 def score(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
+
+
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    """The values of a column of equally long lists, one after another."""
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
+    return np.concatenate(parts) if parts else np.zeros(0)

@@ -182,20 +182,8 @@ def verifier(k: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs (doc_id, text): documents link if the
-    Jaccard similarity of their sets of distinct k-word shingles (A-Z lower-cased) is percent/100 or
-    more; component_id is the smallest doc_id that links reach.
-
-    A text of fewer than k words is one shingle; null, empty and blank texts have none and link with
-    nothing; rows with null doc_id link with nothing (component_id null); rows that repeat a doc_id
-    link by their own texts; an empty table gives no rows; other columns are not looked at.
-
-    Equal sets are one from the start. Sets are indexed by segment signatures (see Bands and
-    signatures). In a bucket all are compared with one member, round by round, and what that joins
-    needs no further comparison; pairs of a bucket that are still in different components are then
-    compared one and all. So a large group of near copies costs about its size, and no link between
-    components is missed. Comparison is on the words themselves."""
+def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """What jaccard_components() gives, and th, the text's 64-bit hash."""
     base = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     allocation = allocate(base, k, percent)
     scanned = materialize(base.mapInArrow(indexer(k, percent, allocation, False), "row long, doc_id long, th long, n long, h1 long, h2 long, full array<long>, less array<long>"), "scanned")
@@ -243,5 +231,36 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     named = sets.select("h1", "h2", "sid", "least").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     heads = named.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r_")
     named = named.join(heads, F.col("root") == F.col("r_")).select(F.col("h1").alias("a_"), F.col("h2").alias("b_"), "component")
-    out = scanned.select("doc_id", "n", "h1", "h2").join(named, (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    out = scanned.select("doc_id", "th", "n", "h1", "h2").join(named, (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs (doc_id, text): documents link if the
+    Jaccard similarity of their sets of distinct k-word shingles (A-Z lower-cased) is percent/100 or
+    more; component_id is the smallest doc_id that links reach.
+
+    A text of fewer than k words is one shingle; null, empty and blank texts have none and link with
+    nothing; rows with null doc_id link with nothing (component_id null); rows that repeat a doc_id
+    link by their own texts; an empty table gives no rows; other columns are not looked at.
+
+    Equal sets are one from the start. Sets are indexed by segment signatures (see Bands and
+    signatures). In a bucket all are compared with one member, round by round, and what that joins
+    needs no further comparison; pairs of a bucket that are still in different components are then
+    compared one and all. So a large group of near copies costs about its size, and no link between
+    components is missed. Comparison is on the words themselves."""
+    return classes(docs, k, percent).drop("th")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all their columns, less all but one document of each component: that with
+    the smallest doc_id (then text hash) stays, once. Documents without words and rows without
+    doc_id are in no group and stay."""
+    found = classes(docs, k, percent).where("doc_id is not null")
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "th")).alias("x")).select(F.col("x.doc_id").alias("d_"), F.col("x.th").alias("t_"), F.lit(True).alias("first_"))
+    keyed = docs.withColumn("th_", F.xxhash64("text")).join(first, (F.col("doc_id") == F.col("d_")) & (F.col("th_") == F.col("t_")), "left")
+    blank = F.coalesce(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
+    once = F.row_number().over(Window.partitionBy("doc_id", "th_").orderBy("th_"))
+    alone = keyed.where(F.col("doc_id").isNull() | blank)
+    kept = keyed.where(F.col("doc_id").isNotNull() & ~blank & F.col("first_")).withColumn("once_", once).where("once_ = 1").drop("once_")
+    return kept.unionByName(alone).select(*[F.col(c) for c in docs.columns])

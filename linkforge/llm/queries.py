@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import round_trip
-from .common import n_words, table
+from .common import table
 from .embedding_dedup import near_duplicates
-from .mixing import mix, quality_weight
+from .mixing import mix, weighed
 from .ngram_join import jaccard_components
+from .quality import quality
 from .sharding import shard_rows
 from .substring_dedup import dedup
 from .topk import top_k
@@ -25,13 +26,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def weighed(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with size (words) and weight (by the quality label, where there is one)."""
-    quality = labels.groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("label_quality"))
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    return sized.join(quality, F.col("doc_id") == F.col("labelled"), "left").select("doc_id", "source", "size", quality_weight(F.col("label_quality")).alias("weight"))
-
-
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = weighed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mix(docs, weights=(3, 1, 2), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
@@ -66,11 +60,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), window=50)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op4_toxicity, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op10_embedding_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op4_toxicity, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op9_quality, op10_embedding_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """

@@ -169,22 +169,9 @@ def keeper(window: int, texts: bool):
     return run
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, texts: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 (and kept_text: null where nothing is removed) for
-    every row of docs (doc_id, text).
-
-    Words are runs of other than the six ASCII white-space characters. Every word is removed that is
-    covered by a window of so many consecutive words that also starts, word for word, in a document
-    with a smaller doc_id, judged on the input. Repeats within a document, and in rows with an equal
-    doc_id, remove nothing; rows with null doc_id neither lose words nor cost others any; null and
-    empty texts have no words; rows equal in all get equal results; an empty table gives no rows;
-    other columns are not looked at.
-
-    A first scan finds each document's minimisers (hashes alone are shuffled). Documents that share
-    one with another are scanned again, and their super-k-mers with such a minimiser travel as
-    packed strings, equal ones as one with the least document. Each bucket's windows are then sorted
-    and compared word for word. A bucket of more than HEAVY different strings goes by single windows,
-    aggregated before and after the shuffle, so that no task holds it."""
+def passages(docs: DataFrame, window: int, minimiser: int, texts: bool) -> tuple[DataFrame, DataFrame]:
+    """(a row a document: doc_id, th, n_words, sha; what is left, d_, t_, n_removed, kept_sha,
+    kept_text, of each different (doc_id, th) that loses words). th: the text's 64-bit hash."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     found = materialize(base.mapInArrow(scan(window, minimiser), "doc_id long, th long, n_words long, sha string, ms array<long>"), "scanned")
     each = found.where("doc_id is not null").select("doc_id", "th", F.explode("ms").alias("m"))
@@ -207,6 +194,33 @@ def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, tex
     hits = hits.groupBy(F.col("doc_id").alias("d_"), F.col("th").alias("t_")).agg(F.collect_list(F.struct("start", "n", "mins")).alias("hits"))
     cut = some.select("doc_id", "th", "text").join(hits, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_"))).select("doc_id", "th", "text", "hits")
     cut = cut.mapInArrow(keeper(window, texts), "d_ long, t_ long, n_removed long, kept_sha string, kept_text string")
-    out = found.drop("ms").join(cut, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_")), "left")
-    columns = ["doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256")]
-    return out.select(*columns, "th", "kept_text") if texts else out.select(*columns)
+    return found.drop("ms"), cut
+
+
+def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 for every row of docs (doc_id, text).
+
+    Words are runs of other than the six ASCII white-space characters. Every word is removed that is
+    covered by a window of so many consecutive words that also starts, word for word, in a document
+    with a smaller doc_id, judged on the input. Repeats within a document, and in rows with an equal
+    doc_id, remove nothing; rows with null doc_id neither lose words nor cost others any; null and
+    empty texts have no words; rows equal in all get equal results; an empty table gives no rows;
+    other columns are not looked at.
+
+    A first scan finds each document's minimisers (hashes alone are shuffled). Documents that share
+    one with another are scanned again, and their super-k-mers with such a minimiser travel as
+    packed strings, equal ones as one with the least document. Each bucket's windows are then sorted
+    and compared word for word. A bucket of more than HEAVY different strings goes by single windows,
+    aggregated before and after the shuffle, so that no task holds it."""
+    found, cut = passages(docs, window, minimiser, False)
+    out = found.join(cut, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_")), "left")
+    return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256"))
+
+
+def without_passages(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
+    """docs, all its columns, without the words that dedup() removes: a text that loses some becomes
+    its kept words, a space between two; the others stay as they are. A column n_chars follows."""
+    _, cut = passages(docs, window, minimiser, True)
+    keyed = docs.withColumn("th_", F.xxhash64("text")).join(cut.select("d_", "t_", "kept_text"), (F.col("doc_id") == F.col("d_")) & (F.col("th_") == F.col("t_")), "left")
+    new = {"text": F.coalesce("kept_text", "text")} | ({"n_chars": F.when(F.col("kept_text").isNotNull(), F.char_length("kept_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return keyed.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .linear import fit, score, sigmoid
+from .linear import fit, flat, score, sigmoid
 
 #: Rows, at most about, that voters, label model and classifier are learnt from.
 LABELLED, UNLABELLED = 8_000, 8_000
@@ -172,9 +172,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     labelled = materialize(own.join(gold, F.col("doc_id") == F.col("l_")).select("text", "toxic").dropDuplicates(), "labelled")
     others = own.where(chance >= 0.5).where((chance - 0.5) * 2 < UNLABELLED / max(1, n / 2)).select("text", F.lit(-1).alias("toxic"))
     terms = list(dict.fromkeys([*mine(labelled), *(t for words in LEXICON.values() for t in words.split())]))
-    rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, seen array<double>").collect()
-    seen = np.array([r.seen for r in rows]).reshape(len(rows), len(terms) + 2)
-    labels_ = np.array([r.gold for r in rows], int)
+    rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, seen array<double>").toArrow()
+    seen = flat(rows.column("seen")).reshape(rows.num_rows, len(terms) + 2)
+    labels_ = rows.column("gold").to_numpy()
     p = label_model(votes(seen), labels_)
     return terms, fit(features(seen), p, l2=0.02)
 
