@@ -87,10 +87,12 @@ def shard_rows(docs: DataFrame, n_shards: int = 16, seed: int = 7) -> DataFrame:
 def write_shards(docs: DataFrame, place: str, n_shards: int = 16, seed: int = 7) -> None:
     """Write docs (doc_id, text and whatever else) to place/shard=K/, rows of a shard by slot. Rows
     meet their shard through (doc_id, checksum, size); among rows equal in these the k-th gets the
-    k-th slot. Shards are dealt by ranges of slots, so a shard may span many files."""
-    same = Window.partitionBy("doc_id_", "text_crc32", "size").orderBy("slot")
-    plan = shard_rows(docs, n_shards, seed).withColumnRenamed("doc_id", "doc_id_").select("doc_id_", "text_crc32", "size", "shard", "slot", F.row_number().over(same).alias("k_"))
-    keyed = docs.withColumns({"crc_": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")), "size_": (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")})
-    keyed = keyed.withColumn("n_", F.row_number().over(Window.partitionBy("doc_id", "crc_", "size_").orderBy(F.xxhash64("text"))))
-    joined = keyed.join(plan, F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("crc_") == F.col("text_crc32")) & (F.col("size_") == F.col("size")) & (F.col("n_") == F.col("k_")))
-    joined.select(*[docs[c] for c in docs.columns], "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(place)
+    k-th slot. Shards are dealt by ranges of slots, so a shard may span many files. Columns
+    of docs named shard or slot are replaced."""
+    same = Window.partitionBy("doc_id", "text_crc32", "size").orderBy("slot")
+    plan = shard_rows(docs, n_shards, seed).select("doc_id", "text_crc32", "size", "shard", "slot", F.row_number().over(same).alias("k")).toDF("d_", "c_", "s_", "shard", "slot", "k_")
+    keyed = docs.select(F.struct("*").alias("row_"), F.col("doc_id").alias("d"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("c"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("s"), F.xxhash64("text").alias("h"))
+    keyed = keyed.withColumn("k", F.row_number().over(Window.partitionBy("d", "c", "s").orderBy("h")))
+    joined = keyed.join(plan, F.col("d").eqNullSafe(F.col("d_")) & (F.col("c") == F.col("c_")) & (F.col("s") == F.col("s_")) & (F.col("k") == F.col("k_")))
+    columns = [F.col("row_")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    joined.select(*columns, "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(place)
