@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, parts_for
 from .components import components
 from .hashing import Words, lowered, mix, pieces, runs
 
@@ -17,8 +17,12 @@ from .hashing import Words, lowered, mix, pieces, runs
 SAMPLE = 20_000
 #: Sets that a task remembers so as not to index them again.
 SEEN = 500_000
-#: Rounds in which each bucket compares all with one member, before what is left is compared in full.
-ROUNDS = 4
+#: Documents of a block, and bytes of its fingerprints, at most.
+BLOCK, BLOCK_BYTES = 2048, 1 << 19
+#: Bytes of a document's fingerprint: a power of two about half its set's size, between these.
+LEAST_PRINT, MOST_PRINT = 256, 1 << 15
+#: Rounds of verification; each but the last takes one pair a document, and drops what that joins.
+ROUNDS = 3
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -89,42 +93,55 @@ def signatures(values: np.ndarray, bands: Bands, allocation: dict[int, dict[int,
     return full, less
 
 
-def indexer(k: int, percent: int, allocation: dict, sample: bool):
-    """A row a document: set size, 128 bits that identify its set, and, for each set that this task
-    sees for the first time, the signatures; or, for the sample, (band, segment, signature, values)."""
+def identities(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers for each set, the same for equal sets."""
+    total = lambda x: np.diff(np.r_[np.zeros(1, np.uint64), np.cumsum(x)][start]).view(np.int64)
+    return total(mix(values)), total(mix(values ^ SALT))
+
+
+def measurer(k: int):
+    """A row a document: the size of its set, and the set's identity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, bounds in pieces(batch, "text"):
+                values, start = shingle_sets(data, bounds, k)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(np.diff(start), pa.int64()), *map(pa.array, identities(values, start))], ["doc_id", "th", "n", "h1", "h2"])
+
+    return run
+
+
+def indexer(k: int, percent: int, allocation: dict, clashes: frozenset, sample: bool):
+    """For each set that this task sees for the first time: its node and signatures; or, for the
+    sample, (band, segment, signature, values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
+        bands, seen, wide = Bands(percent), set(), pa.list_(pa.int64())
         for batch in batches:
             for rows, data, bounds in pieces(batch, "text"):
                 values, start = shingle_sets(data, bounds, k)
-                size = np.diff(start)
-                total = lambda x: np.diff(np.r_[np.zeros(1, np.uint64), np.cumsum(x)][start])
-                h1, h2 = total(mix(values)).view(np.int64), total(mix(values ^ SALT)).view(np.int64)
-                full, less, cells = [], [], []
+                h1, h2 = (x.tolist() for x in identities(values, start))
+                nodes, full, less, cells = [], [], [], []
                 for i in range(rows.num_rows):
-                    key, own = (int(h1[i]), int(h2[i])), values[start[i] : start[i + 1]]
-                    if not size[i] or key in seen:
-                        full.append(None)
-                        less.append(None)
+                    node, own = h2[i] if h1[i] in clashes else h1[i], values[start[i] : start[i + 1]]
+                    if not len(own) or node in seen:
                         continue
-                    seen.add(key)
+                    seen.add(node)
                     if sample:
-                        band = int(bands.of(size[i : i + 1])[0])
+                        band = int(bands.of(np.array([len(own)]))[0])
                         seg, _, sums = segment_sums(own, bands.segments(band))
-                        cells += [(band, j, int(s), int(c)) for j, (s, c) in enumerate(zip(sums.view(np.int64).tolist(), np.bincount(seg, minlength=len(sums)).tolist(), strict=True))]
+                        cells += [(band, j, x, c) for j, (x, c) in enumerate(zip(sums.view(np.int64).tolist(), np.bincount(seg, minlength=len(sums)).tolist(), strict=True))]
                         continue
                     a, b = signatures(own, bands, allocation)
+                    nodes.append(node)
                     full.append(np.concatenate(a).view(np.int64))
                     less.append(np.concatenate(b).view(np.int64) if b else None)
                 if len(seen) > SEEN:
                     seen = set()
-                if sample:
-                    if cells:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)], ["band", "segment", "sig", "size"])
-                    continue
-                wide = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(size, pa.int64()), pa.array(h1), pa.array(h2), pa.array(full, wide), pa.array(less, wide)], ["row", "doc_id", "th", "n", "h1", "h2", "full", "less"])
+                if not sample:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(full, wide), pa.array(less, wide)], ["sid", "full", "less"])
+                elif cells:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)], ["band", "segment", "sig", "size"])
 
     return run
 
@@ -136,7 +153,7 @@ def allocate(docs: DataFrame, k: int, percent: int) -> dict[int, dict[int, int]]
     n = docs.count()
     part = 1.0 if n <= SAMPLE else SAMPLE / n
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)) + 1))
-    cells = some.mapInArrow(indexer(k, percent, {}, True), "band int, segment int, sig long, size int")
+    cells = some.mapInArrow(indexer(k, percent, {}, frozenset(), True), "band int, segment int, sig long, size int")
     agreed = cells.groupBy("band", "segment", "sig").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
     costs = agreed.groupBy("band", "segment").agg(F.sum("c").alias("sets"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"), F.sum("s").alias("s"))
     middle = costs.groupBy("band").agg(F.percentile("pairs", 0.5).alias("usual"))
@@ -182,54 +199,153 @@ def verifier(k: int, percent: int):
     return run
 
 
+def fingerprint(values: np.ndarray) -> np.ndarray:
+    """A byte for each segment of a set: the exclusive or of its values' hashed bytes. Two sets that
+    differ in d values differ in at most d bytes, also after both are folded to fewer."""
+    size = LEAST_PRINT
+    while size < MOST_PRINT and size * 2 < len(values):
+        size *= 2
+    out = np.zeros(size, np.uint8)
+    np.bitwise_xor.at(out, (mix(values ^ SALT) & np.uint64(size - 1)).astype(np.int64), (mix(values + SALT) >> np.uint64(56)).astype(np.uint8))
+    return out
+
+
+def folded(prints: np.ndarray, size: int) -> np.ndarray:
+    while prints.shape[-1] > size:
+        half = prints.shape[-1] // 2
+        prints = prints[..., :half] ^ prints[..., half:]
+    return prints
+
+
+def packer(k: int):
+    """Blocks of sorted (cluster, n, sid, root, text) rows, never of two clusters, with fingerprints."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, made, held, cluster = TaskContext.get().partitionId(), 0, [], None
+
+        def close() -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            sids, roots, sizes, prints = zip(*held, strict=True)
+            row = [cluster, f"{task}-{made}", min(sizes), max(sizes), min(roots), max(roots), *(np.array(x, np.int64).tobytes() for x in (sids, roots, sizes)), b"".join(folded(x, len(prints[0])).tobytes() for x in prints)]
+            held.clear()
+            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], ["cluster", "block", "lo", "hi", "root_lo", "root_hi", "sids", "roots", "sizes", "prints"])
+
+        for batch in batches:
+            for rows, data, bounds in pieces(batch, "text"):
+                values, start = shingle_sets(data, bounds, k)
+                for i, (c, sid, root, n) in enumerate(zip(*(rows.column(x).to_pylist() for x in ("cluster", "sid", "root", "n")), strict=True)):
+                    if held and (c != cluster or len(held) == BLOCK or len(held) * len(held[0][3]) >= BLOCK_BYTES):
+                        yield close()
+                    cluster = c
+                    held.append((sid, root, n, fingerprint(values[start[i] : start[i + 1]])))
+        if held:
+            yield close()
+
+    return run
+
+
+def possible(a: dict, b: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of two blocks, in different components, that may link: not those whose fingerprints
+    differ in more bytes than the sets of a link can differ in values."""
+    size = min(a["prints"].shape[1], b["prints"].shape[1])
+    prints_a, prints_b = folded(a["prints"], size), folded(b["prints"], size)
+    out_a, out_b = [], []
+    for i in range(len(a["sids"])):
+        n, m = a["sizes"][i], b["sizes"]
+        some = np.flatnonzero((b["roots"] != a["roots"][i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        if len(some):
+            differ = (prints_b[some] != prints_a[i]).sum(axis=1)
+            some = some[differ * (100 + percent) <= (n + m[some]) * (100 - percent)]
+            out_a.append(np.full(len(some), a["sids"][i]))
+            out_b.append(b["sids"][some])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+
+
+def comparer(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                sides = [{x: np.frombuffer(row[f"{x}_{s}"], np.int64) for x in ("sids", "roots", "sizes")} | {"prints": np.frombuffer(row[f"prints_{s}"], np.uint8).reshape(len(row[f"sids_{s}"]) // 8, -1)} for s in "ab"]
+                x, y = possible(*sides, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    return run
+
+
+def cluster_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: pairs that may link and join components, among documents that share a bucket of open_ (sig,
+    sid, root). Documents that buckets tie together form clusters, cut into blocks by set size; blocks
+    of near sizes are compared as wholes by fingerprints, so what is shuffled is blocks, not pairs."""
+    spark = open_.sparkSession
+    by_sig = Window.partitionBy("sig")
+    ties = open_.select("sid", F.min("sid").over(by_sig).alias("lead")).where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b"))
+    clusters = components(ties)
+    roots = open_.groupBy(F.col("sid").alias("s_")).agg(F.min("root").alias("root"))
+    rows = clusters.select("node", F.col("root").alias("cluster")).join(roots, F.col("node") == F.col("s_")).join(texts, F.col("node") == F.col("sid")).select("cluster", "n", "sid", "root", "text")
+    schema = "cluster long, block string, lo long, hi long, root_lo long, root_hi long, sids binary, roots binary, sizes binary, prints binary"
+    blocks = materialize(rows.repartitionByRange(parts_for(spark), "cluster", "n", "sid").sortWithinPartitions("cluster", "n", "sid").mapInArrow(packer(k), schema), "blocks")
+    meta = blocks.select("cluster", "block", "lo", "hi", "root_lo", "root_hi")
+    left, right = meta.toDF("cluster", "a", "lo_a", "hi_a", "first_a", "last_a"), meta.toDF("cluster", "b", "lo_b", "hi_b", "first_b", "last_b")
+    near = (F.col("a") <= F.col("b")) & (percent * F.col("lo_a") <= 100 * F.col("hi_b")) & (percent * F.col("lo_b") <= 100 * F.col("hi_a"))
+    apart = F.least("first_a", "first_b") < F.greatest("last_a", "last_b")
+    pairs = left.join(right, "cluster").where(near & apart).select("a", "b")
+    data = blocks.select("block", "sids", "roots", "sizes", "prints")
+    pairs = pairs.join(data.toDF("a", *[f"{c}_a" for c in data.columns[1:]]), "a").join(data.toDF("b", *[f"{c}_b" for c in data.columns[1:]]), "b")
+    return pairs.mapInArrow(comparer(percent), "a long, b long")
+
+
 def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """What jaccard_components() gives, and th, the text's 64-bit hash."""
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    scanned = materialize(base.mapInArrow(measurer(k), "doc_id long, th long, n long, h1 long, h2 long"), "scanned")
+    live = scanned.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th")).alias("x"), F.min("n").alias("n"))
+    # Different sets of one h1 (N * N / 2 ** 65 of them among N, a handful at most) go by h2 instead.
+    clashes = [r.h1 for r in live.groupBy("h1").count().where("count > 1").select("h1").limit(10_000).collect()]
+    sid = F.when(F.col("h1").isin(clashes), F.col("h2")).otherwise(F.col("h1")) if clashes else F.col("h1")
+    sets = materialize(live.select("h1", "h2", "n", sid.alias("sid"), F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th")), "sets")
     allocation = allocate(base, k, percent)
-    scanned = materialize(base.mapInArrow(indexer(k, percent, allocation, False), "row long, doc_id long, th long, n long, h1 long, h2 long, full array<long>, less array<long>"), "scanned")
-    live = scanned.where("n > 0 and doc_id is not null")
-    sets = materialize(live.groupBy("h1", "h2").agg(F.min(F.struct("row", "doc_id", "th")).alias("x"), F.min("doc_id").alias("least")).select("h1", "h2", F.col("x.row").alias("sid"), F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th"), "least"), "sets")
-    # A set may first be seen in a row without doc_id; its signatures count all the same.
-    indexed = scanned.where("full is not null").dropDuplicates(["h1", "h2"]).join(sets.select("h1", "h2", "sid"), ["h1", "h2"])
+    indexed = base.where("doc_id is not null").select("text").mapInArrow(indexer(k, percent, allocation, frozenset(clashes), False), "sid long, full array<long>, less array<long>")
     entries = indexed.select("sid", F.explode("full").alias("sig"), F.lit(0).alias("less"))
     if any(v == 2 for x in allocation.values() for v in x.values()):
         entries = entries.unionAll(indexed.select("sid", F.explode("less").alias("sig"), F.lit(1).alias("less")))
     by_sig = Window.partitionBy("sig")
-    buckets = entries.withColumn("c", F.count("*").over(by_sig)).withColumn("lead", F.min(F.when(F.col("less") == 0, F.col("sid"))).over(by_sig)).where("c > 1 and lead is not null").select("sig", "sid", "less", "lead")
-    buckets = materialize(buckets, "buckets")
-    texts = buckets.select(F.col("sid").alias("s_")).distinct().join(sets, F.col("s_") == F.col("sid")).select("sid", F.col("doc_id").alias("d_"), F.col("th").alias("t_"))
-    texts = texts.join(base.select("doc_id", "th", "text"), (F.col("d_") == F.col("doc_id")) & (F.col("t_") == F.col("th"))).select("sid", "text").dropDuplicates(["sid"])
+    buckets = entries.withColumn("lead", F.min(F.when(F.col("less") == 0, F.col("sid"))).over(by_sig)).withColumn("last", F.max("sid").over(by_sig)).withColumn("first", F.min("sid").over(by_sig))
+    buckets = materialize(buckets.where("first < last and lead is not null").select("sig", "sid", "lead"), "buckets")
+    texts = buckets.select(F.col("sid").alias("s_")).distinct().join(sets, F.col("s_") == F.col("sid")).select("sid", "n", F.col("doc_id").alias("d_"), F.col("th").alias("t_"))
+    texts = texts.join(base.select("doc_id", "th", "text"), (F.col("d_") == F.col("doc_id")) & (F.col("t_") == F.col("th"))).select("sid", "n", "text").dropDuplicates(["sid"])
     texts = materialize(texts, "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(texts.toDF("a", "text_a"), "a")
-        return materialize(with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(k, percent), "a long, b long, hit boolean"), "verified")
-
-    done = verified(buckets.where("sid <> lead").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct())
-    for turn in range(1, ROUNDS + 1):
-        roots = components(done.where("hit").select("a", "b"))
-        named = buckets.drop("lead").join(roots, F.col("sid") == F.col("node"), "left").select("sig", "sid", "less", F.coalesce("root", "sid").alias("root"))
-        named = named.withColumn("lo", F.min("root").over(by_sig)).withColumn("hi", F.max("root").over(by_sig)).where("lo < hi").drop("lo", "hi")
-        buckets = materialize(named, "buckets")
-        rows = buckets.count()
-        if not rows:
+        with_a = pairs.join(texts.select("sid", "text").toDF("a", "text_a"), "a")
+        return materialize(with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(k, percent), "a long, b long, hit boolean"), "verified")
+
+    shared = buckets.where("sid <> lead").groupBy("sid", "lead").agg(F.count("*").alias("c"))
+    done = verified(shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("a")).select("a", "b"))
+    roots = components(done.where("hit").select("a", "b"))
+    named = buckets.select("sig", "sid").distinct().join(roots, F.col("sid") == F.col("node"), "left").select("sig", "sid", F.coalesce("root", "sid").alias("root"))
+    named = named.withColumn("lo", F.min("root").over(by_sig)).withColumn("hi", F.max("root").over(by_sig)).where("lo < hi").drop("lo", "hi")
+    open_ = materialize(named, "open")
+    rest = cluster_pairs(open_, texts, k, percent).distinct() if not open_.isEmpty() else None
+    for turn in range(ROUNDS if rest is not None else 0):
+        rest = materialize(rest, "rest")
+        if rest.isEmpty():
             break
-        counted = buckets.groupBy("sig", "root").count().groupBy("sig").agg((F.pow(F.sum("count"), F.lit(2.0)) - F.sum(F.col("count") * F.col("count"))).alias("cross"))
-        if turn == ROUNDS or counted.agg(F.sum("cross")).first()[0] <= 8 * rows:
-            left, right = buckets.toDF("sig", "a", "less_a", "root_a"), buckets.toDF("sig", "b", "less_b", "root_b")
-            pairs, last = left.join(right, "sig").where("a < b and root_a <> root_b and less_a + less_b < 2").select("a", "b"), True
-        else:
-            last = False
-            lead = F.min_by("sid", F.when(F.col("less") == 0, F.xxhash64("sid", F.lit(turn)))).over(by_sig)
-            pairs = buckets.withColumn("lead", lead).withColumn("lead_root", F.max(F.when(F.col("sid") == F.col("lead"), F.col("root"))).over(by_sig))
-            pairs = pairs.where("lead is not null and root <> lead_root").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b"))
-        fresh = verified(pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"))
+        some = rest if turn == ROUNDS - 1 else rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        fresh = verified(some)
         done = done.unionAll(fresh)
-        if last:
-            break
+        if turn < ROUNDS - 1:
+            roots = components(done.where("hit").select("a", "b"))
+            rest = rest.join(fresh.select("a", "b"), ["a", "b"], "left_anti").join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
+            rest = rest.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
     roots = components(done.where("hit").select("a", "b"))
-    named = sets.select("h1", "h2", "sid", "least").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
-    heads = named.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r_")
+    named = sets.select("h1", "h2", "sid", "doc_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
+    heads = named.groupBy("root").agg(F.min("doc_id").alias("component")).withColumnRenamed("root", "r_")
     named = named.join(heads, F.col("root") == F.col("r_")).select(F.col("h1").alias("a_"), F.col("h2").alias("b_"), "component")
     out = scanned.select("doc_id", "th", "n", "h1", "h2").join(named, (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
@@ -245,10 +361,12 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     link by their own texts; an empty table gives no rows; other columns are not looked at.
 
     Equal sets are one from the start. Sets are indexed by segment signatures (see Bands and
-    signatures). In a bucket all are compared with one member, round by round, and what that joins
-    needs no further comparison; pairs of a bucket that are still in different components are then
-    compared one and all. So a large group of near copies costs about its size, and no link between
-    components is missed. Comparison is on the words themselves."""
+    signatures). In a bucket all are first compared with one member each, that with which they share most buckets; what that joins needs no further
+    comparison, so a large group of copies costs about its size. Documents of buckets that still
+    hold different components are then compared in blocks (see cluster_pairs), each with every other
+    of their cluster that lies in another component: first by fingerprints, which rule out a
+    pair only if it can't link, then on the words themselves. Nothing but equal sets is taken as a link
+    unverified; those are equal in 128 bits."""
     return classes(docs, k, percent).drop("th")
 
 

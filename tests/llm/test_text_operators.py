@@ -70,7 +70,7 @@ def near():
 @pytest.mark.parametrize("swap", [False, True])
 def test_join(spark, near, monkeypatch, k, percent, swap):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
-    monkeypatch.setattr(ngram_join, "COLUMNS", 64)
+    monkeypatch.setattr(ngram_join, "LEAST_PRINT", 8)
     if swap:  # every band leaves its first segment out and allows a difference of one in the second
         many = {b: {0: 0, 1: 2} for b in range(40) if ngram_join.Bands(percent).segments(b) > 1}
         monkeypatch.setattr(ngram_join, "allocate", lambda *a: many)
