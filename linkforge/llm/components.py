@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch
 
 
-def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
+def settled(links: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = links.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(links.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root for every node of links (a, b: long): root is the smallest node that can be
-    reached. Alternates large-star and small-star rounds until every node has its root as its
-    one neighbour: each round ties
-    neighbours to a smaller common one, so the rounds grow with the logarithm of the graph's width.
-    Each round is written to the shared folder. A node with many neighbours is pre-aggregated before
-    its shuffle and its join can be split; neighbours are never collected. Null ends and loops are
-    dropped."""
+    reached; the table is scratch's. Alternates large-star and small-star rounds until every node
+    has its root as its one neighbour. Both tie nodes to smaller ones, so the rounds end; their
+    number grows with the logarithm of the graph's width. Each round is written to the shared
+    folder, and so is each node's least neighbour, which is pre-aggregated before its shuffle: what
+    is joined then are two plain tables, whose hot nodes adaptive execution can split. Neighbours
+    are never collected. Null ends and loops are dropped."""
     links = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    links = materialize(links, "links")
-    for _ in range(most_rounds):
-        # Done once no node has two smaller neighbours, or a smaller and a larger one.
-        ends = links.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(links.select("v", F.lit(0), F.lit(1)))
-        if ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty():
-            break
+    links = scratch(links, "links")
+    while not settled(links):
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = materialize(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-    else:
-        raise RuntimeError("components did not settle")
+        least = scratch(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")), "least")
+        large = scratch(both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        least = scratch(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w"), "least")
+        small = large.join(least, F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = scratch(small.unionAll(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct(), "links")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

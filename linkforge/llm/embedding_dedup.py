@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts_for
+from .common import Scratch, materialize, parts_for
 from .components import components
 from .vectors import by_dimension, finite
 
@@ -151,7 +151,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, leading: int = LEA
     pairs = pairs.join(data.toDF("a", "dim", "reps_a", "copies_a", "units_a", "grids_a"), "a").repartition(n_parts, "a", "b").join(data.drop("dim").toDF("b", "reps_b", "copies_b", "units_b", "grids_b"), "b")
     found = materialize(pairs.mapInArrow(matcher(cosine, reach), "rep long, links long, to long"), "found")
     by_rep = found.where("links > 0").groupBy("rep").agg(F.sum("links").alias("more"))
-    roots = components(found.where("to is not null").select(F.col("rep").alias("a"), F.col("to").alias("b")))
+    roots = components(found.where("to is not null").select(F.col("rep").alias("a"), F.col("to").alias("b")), Scratch(spark))
     result = groups.select("rep", "same", "copies").join(by_rep, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
     result = result.select(F.col("same").alias("same_"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n"), F.coalesce("root", "rep").alias("root"))
     joined = keyed.select("vec_id", "same").join(result, F.col("same") == F.col("same_"), "left")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Text bytes that are worked on at once; a longer text is worked on alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 SPACES = (9, 10, 11, 12, 13, 32)
 
 
@@ -20,6 +21,32 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+#: An odd base of the words' polynomials.
+BASE = 0x5851F42D4C957F2B
+
+
+@cache
+def byte_values() -> np.ndarray:
+    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        power, back = (np.full(n + 1, x, np.uint64) for x in (BASE, pow(BASE, -1, 1 << 64)))
+        power[0] = back[0] = 1
+        return np.multiply.accumulate(power), np.multiply.accumulate(back)
+
+
+@cache
+def usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(PIECE_BYTES)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE to the 0 to n, and its inverse to the 0 to n; made once a process for usual pieces."""
+    return usual_powers() if n <= PIECE_BYTES else _powers(n)
+
+
 class Words:
     """The words of a run of texts. data: their bytes; bounds: where each text begins, and the end;
     start, end: of each word; first: the number of each text's first word, and the count."""
@@ -42,14 +69,11 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word: a polynomial of its bytes, from prefix sums, then mixed."""
         n = len(self.data)
-        table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        power, back = powers(n)
+        total = np.zeros(n + 1, np.uint64)
         with np.errstate(over="ignore"):
-            base = 0x5851F42D4C957F2B
-            power, back = (np.full(n + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
-            power[0] = back[0] = 1
-            power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum(table[self.data] * power[:n], out=total[1:])
+            np.multiply(byte_values()[self.data], power[:n], out=total[1:])
+            np.cumsum(total, out=total)
             return mix((total[self.end] - total[self.start]) * back[self.start])
 
     def joined(self, i: int, j: int) -> bytes:

@@ -3,49 +3,74 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, parts_for
+from .common import Scratch, materialize, parts_for
 from .components import components
 from .hashing import Words, lowered, mix, pieces, runs
 
-#: Documents, about, from which segment costs are estimated; they steer cost, never the result.
-SAMPLE = 20_000
 #: Sets that a task remembers so as not to index them again.
-SEEN = 500_000
+SEEN = 200_000
 #: Documents of a block, and bytes of its fingerprints, at most.
-BLOCK, BLOCK_BYTES = 2048, 1 << 19
+BLOCK, BLOCK_BYTES = 2048, 1 << 18
 #: Bytes of a document's fingerprint: a power of two about half its set's size, between these.
-LEAST_PRINT, MOST_PRINT = 256, 1 << 15
-#: Rounds of verification; each but the last takes one pair a document, and drops what that joins.
-ROUNDS = 3
+LEAST_PRINT, MOST_PRINT = 64, 1 << 13
+#: A bucket is worth its cost if a member meets no more than so many of other components, on average.
+HOT = 32
+#: Rounds in which each set is compared with one bucket mate, and rounds of a level's verification, each
+#: but the last of which takes one pair a set; what either joins needs no further comparison.
+LEADS, ROUNDS = 1, 2
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+class Level(NamedTuple):
+    """How the universe is cut: segments as a multiple of the units that a set needs, and whether
+    one-deletion neighbourhoods are indexed."""
+
+    share: float
+    less: bool
+
+
+#: Whole segments; larger ones with their one-deletion neighbourhoods; nearly single values.
+LEVELS = (Level(1.2, False), Level(0.8, True), Level(24, False))
+
+
 class Bands:
-    """Size bands, each half as wide again as the one before, and the number of segments of each: one
-    more than the greatest symmetric difference of two sets that link, the smaller in the band."""
+    """Size bands, each half as wide again as the one before; two sets that link meet in the band of
+    the smaller."""
 
     def __init__(self, percent: int) -> None:
-        self.percent, self.low = percent, [1]
-        while self.low[-1] < 1 << 40:
-            self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
-        self.low = np.array(self.low, np.int64)
+        if not 67 <= percent <= 100:
+            raise ValueError("sets of a similarity under 67 % may lie more than a band apart")
+        self.percent, low = percent, [1]
+        while low[-1] < 1 << 40:
+            low.append(max(low[-1] + 1, low[-1] * 3 // 2))
+        self.low = np.array(low, np.int64)
+        top = self.low[1:] - 1
+        self.units = top * (100 - percent) // percent + 1
 
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, n, "right") - 1
 
-    def segments(self, band: int) -> int:
-        top = int(self.low[band + 1]) - 1
-        return top * (100 - self.percent) // self.percent + 1
+    def segments(self, band: np.ndarray, level: Level) -> np.ndarray:
+        return np.ceil(level.share * self.units[band]).astype(np.int64) + 2
 
-    def down(self, n: int, band: int) -> bool:
+    def meets_below(self, n: np.ndarray) -> np.ndarray:
         """Whether a set of n can link to a smaller one in the band below."""
-        return band > 0 and 100 * (int(self.low[band]) - 1) >= self.percent * n
+        band = self.of(n)
+        return (band > 0) & (100 * (self.low[band] - 1) >= self.percent * n)
+
+    def need(self, n: np.ndarray, below: bool) -> np.ndarray:
+        """One more than the greatest symmetric difference of a set of n and one that it links to in
+        its own band, or in the band below."""
+        if not below:
+            return n * (100 - self.percent) // self.percent + 1
+        return (n + self.low[self.of(n)] - 1) * (100 - self.percent) // (100 + self.percent) + 1
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,30 +92,44 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarr
     return values, np.searchsorted(owner, np.arange(len(bounds)))
 
 
-def segment_sums(values: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment of each value, mixed value, sum of mixed values by segment)."""
-    seg = (mix(values ^ SALT) % np.uint64(m)).astype(np.int64)
-    mixed, sums = mix(values + SALT), np.zeros(m, np.uint64)
-    np.add.at(sums, seg, mixed)
-    return seg, mixed, sums
-
-
-def signatures(values: np.ndarray, bands: Bands, allocation: dict[int, dict[int, int]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(whole segments, segments less one value): what a set is indexed by, in its band and, if it
-    can link downwards, in the one below. The allocation gives some segments 0 (left out) or 2 (a
-    difference of one allowed); all others 1. In each band these numbers exceed the greatest
-    difference, so two sets that link agree in some segment to within its allowance."""
-    own, full, less = int(bands.of(np.array([len(values)]))[0]), [], []
-    for band in (own, own - 1) if bands.down(len(values), own) else (own,):
-        m = bands.segments(band)
-        seg, mixed, sums = segment_sums(values, m)
-        name = mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 40))
-        special = allocation.get(band, {})
-        sig = mix(sums ^ name)
-        full.append(np.delete(sig, [j for j, v in special.items() if v == 0]) if special else sig)
-        for j in (j for j, v in special.items() if v == 2):
-            less.append(mix((sums[j] - mixed[seg == j]) ^ name[j]))
-    return full, less
+def index(values: np.ndarray, start: np.ndarray, bands: Bands, number: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(document, signature, info) of every document's segments at level ``number``, in its own band
+    and, if it can link downwards, in the one below. Empty segments have no signature.
+
+    A segment that holds values is worth a unit, as two sets can agree in it; where one-deletion
+    neighbourhoods are indexed, a segment of two or more values is worth two, as they can also
+    differ in one value there. Two sets that link differ in fewer values than either needs units (see
+    Bands.need), so if the segments of either are worth as much, some segment that holds values agrees
+    to within its worth: the sets share a signature. info packs what a set can spare beyond its need
+    (spare, from bit 5), whether the need isn't met (bit 4), the units lost without the signature (two
+    bits), whether it is a deletion (bit 1), and the band (bit 0: the one below)."""
+    level, n = LEVELS[number], np.diff(start)
+    for below in (False, True):
+        # Sets that only an equal one can link to needn't be indexed.
+        some = np.flatnonzero((n > 0) & (bands.need(n, below) > 1) & (bands.meets_below(n) | (not below)))
+        if not len(some):
+            continue
+        mine = np.zeros(len(n), bool)
+        mine[some] = True
+        v, band, need = values[np.repeat(mine, n)], bands.of(n[some]) - below, bands.need(n[some], below)
+        m = bands.segments(band, level)
+        base, doc = np.r_[0, np.cumsum(m)], np.repeat(np.arange(len(some)), m)
+        cell = np.repeat(base[:-1], n[some]) + (mix(v ^ mix(SALT + np.uint64(number))) % np.repeat(m, n[some]).astype(np.uint64)).astype(np.int64)
+        mixed, sums = mix(v + SALT), np.zeros(base[-1], np.uint64)
+        np.add.at(sums, cell, mixed)
+        count = np.bincount(cell, minlength=base[-1])
+        name = mix((np.arange(base[-1]) - base[doc] + (band[doc] << 34)).astype(np.uint64) + (np.uint64(number) << np.uint64(60)))
+        worth = np.minimum(count, 2 if level.less else 1)
+        spare = np.add.reduceat(worth, base[:-1]) - need
+        info = (np.maximum(spare, 0) << 5) + below
+        kept = np.flatnonzero(count)
+        yield some[doc[kept]], mix(sums[kept] ^ name[kept]), info[doc[kept]] + (worth[kept] << 2)
+        if level.less:
+            t = np.flatnonzero(count[cell] >= 2)
+            yield some[doc[cell[t]]], mix((sums[cell[t]] - mixed[t]) ^ name[cell[t]]), info[doc[cell[t]]] + (1 << 2) + 2
+        poor = np.flatnonzero(spare < 0)
+        if len(poor):
+            yield some[poor], mix(values[start[some[poor]]] ^ name[base[poor]]), np.full(len(poor), 16 + below)
 
 
 def identities(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,64 +150,60 @@ def measurer(k: int):
     return run
 
 
-def indexer(k: int, percent: int, allocation: dict, clashes: frozenset, sample: bool):
-    """For each set that this task sees for the first time: its node and signatures; or, for the
-    sample, (band, segment, signature, values)."""
+def indexer(k: int, percent: int, number: int):
+    """(h1, h2, sig, info): what index() gives for each text; a set that the task has seen before is
+    left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen, wide = Bands(percent), set(), pa.list_(pa.int64())
+        bands, seen = Bands(percent), set()
         for batch in batches:
-            for rows, data, bounds in pieces(batch, "text"):
+            for _, data, bounds in pieces(batch, "text"):
                 values, start = shingle_sets(data, bounds, k)
-                h1, h2 = (x.tolist() for x in identities(values, start))
-                nodes, full, less, cells = [], [], [], []
-                for i in range(rows.num_rows):
-                    node, own = h2[i] if h1[i] in clashes else h1[i], values[start[i] : start[i + 1]]
-                    if not len(own) or node in seen:
-                        continue
-                    seen.add(node)
-                    if sample:
-                        band = int(bands.of(np.array([len(own)]))[0])
-                        seg, _, sums = segment_sums(own, bands.segments(band))
-                        cells += [(band, j, x, c) for j, (x, c) in enumerate(zip(sums.view(np.int64).tolist(), np.bincount(seg, minlength=len(sums)).tolist(), strict=True))]
-                        continue
-                    a, b = signatures(own, bands, allocation)
-                    nodes.append(node)
-                    full.append(np.concatenate(a).view(np.int64))
-                    less.append(np.concatenate(b).view(np.int64) if b else None)
+                h1, h2 = identities(values, start)
+                new = np.zeros(len(h1), bool)
+                for i, x in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):
+                    if x not in seen:
+                        seen.add(x)
+                        new[i] = True
                 if len(seen) > SEEN:
                     seen = set()
-                if not sample:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(full, wide), pa.array(less, wide)], ["sid", "full", "less"])
-                elif cells:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)], ["band", "segment", "sig", "size"])
+                values, size = values[np.repeat(new, np.diff(start))], np.diff(start)[new]
+                h1, h2 = h1[new], h2[new]
+                for doc, sig, info in index(values, np.r_[0, np.cumsum(size)], bands, number):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h1[doc], h2[doc], sig.view(np.int64), info.astype(np.int64))], ["h1", "h2", "sig", "info"])
 
     return run
 
 
-def allocate(docs: DataFrame, k: int, percent: int) -> dict[int, dict[int, int]]:
-    """The allocation: a segment in which many different sets agree (its frequent values fill it
-    alone) is left out where a one-deletion neighbourhood of another segment costs less. Costs are
-    estimated on about SAMPLE documents; any allocation gives the same links."""
-    n = docs.count()
-    part = 1.0 if n <= SAMPLE else SAMPLE / n
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)) + 1))
-    cells = some.mapInArrow(indexer(k, percent, {}, frozenset(), True), "band int, segment int, sig long, size int")
-    agreed = cells.groupBy("band", "segment", "sig").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
-    costs = agreed.groupBy("band", "segment").agg(F.sum("c").alias("sets"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"), F.sum("s").alias("s"))
-    middle = costs.groupBy("band").agg(F.percentile("pairs", 0.5).alias("usual"))
-    # Only bands of some weight, and at most as many segments as the longest text has: a bounded table.
-    rows = costs.join(middle, "band").where((F.col("pairs") - F.col("usual")) / F.lit(part) > 4 * F.col("s")).select("band", "segment", "s", "pairs").collect()
-    of_band = costs.where(F.col("band").isin([r.band for r in rows])).groupBy("band").agg(F.sort_array(F.collect_list(F.struct("s", "segment"))).alias("x"))
-    cheap = {b: [j for _, j in x] for b, x in of_band.collect()} if rows else {}
-    dear = {(r.band, r.segment) for r in rows}
-    out: dict[int, dict[int, int]] = {}
-    for r in sorted(rows, key=lambda r: -r.pairs):
-        mine = out.setdefault(r.band, {})
-        spare = next((j for j in cheap[r.band] if j not in mine and (r.band, j) not in dear), None)
-        if spare is not None:
-            mine[r.segment], mine[spare] = 0, 2
-    return out
+def spare() -> Column:
+    return F.shiftright("info", 5)
+
+
+def is_poor() -> Column:
+    return F.col("info").bitwiseAND(16) != 0
+
+
+def units() -> Column:
+    return F.shiftright("info", 2).bitwiseAND(3)
+
+
+def is_less() -> Column:
+    return F.col("info").bitwiseAND(2) != 0
+
+
+def below() -> Column:
+    return F.col("info").bitwiseAND(1)
+
+
+def unique(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """sets (h1, h2, ...) with sid, a number of their own: h1, unless another set has that too."""
+    sets, turn = scratch(sets.withColumn("sid", F.col("h1")), "sets"), 0
+    while not (twice := sets.groupBy("sid").agg(F.count("*").alias("c"), F.min(F.struct("h1", "h2")).alias("first_")).where("c > 1")).isEmpty():
+        turn += 1
+        marked = sets.join(twice.select(F.col("sid").alias("s_"), "first_"), F.col("sid") == F.col("s_"), "left")
+        again = F.col("first_").isNotNull() & (F.struct("h1", "h2") != F.col("first_"))
+        sets = scratch(marked.select(*[c for c in sets.columns if c != "sid"], F.when(again, F.xxhash64("h1", "h2", F.lit(turn))).otherwise(F.col("sid")).alias("sid")), "sets")
+    return sets
 
 
 def linked(a: set, b: set, percent: int) -> bool:
@@ -278,18 +313,17 @@ def comparer(percent: int):
     return run
 
 
-def cluster_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def cluster_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """a, b: pairs that may link and join components, among documents that share a bucket of open_ (sig,
     sid, root). Documents that buckets tie together form clusters, cut into blocks by set size; blocks
     of near sizes are compared as wholes by fingerprints, so what is shuffled is blocks, not pairs."""
-    spark = open_.sparkSession
-    by_sig = Window.partitionBy("sig")
-    ties = open_.select("sid", F.min("sid").over(by_sig).alias("lead")).where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b"))
-    clusters = components(ties)
+    least = open_.groupBy("sig").agg(F.min("sid").alias("lead")).withColumnRenamed("sig", "sig_")
+    ties = open_.join(least, F.col("sig") == F.col("sig_")).where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b"))
+    clusters = components(ties, scratch)
     roots = open_.groupBy(F.col("sid").alias("s_")).agg(F.min("root").alias("root"))
     rows = clusters.select("node", F.col("root").alias("cluster")).join(roots, F.col("node") == F.col("s_")).join(texts, F.col("node") == F.col("sid")).select("cluster", "n", "sid", "root", "text")
     schema = "cluster long, block string, lo long, hi long, root_lo long, root_hi long, sids binary, roots binary, sizes binary, prints binary"
-    blocks = materialize(rows.repartitionByRange(parts_for(spark), "cluster", "n", "sid").sortWithinPartitions("cluster", "n", "sid").mapInArrow(packer(k), schema), "blocks")
+    blocks = scratch(rows.repartitionByRange(parts_for(open_.sparkSession), "cluster", "n", "sid").sortWithinPartitions("cluster", "n", "sid").mapInArrow(packer(k), schema), "blocks")
     meta = blocks.select("cluster", "block", "lo", "hi", "root_lo", "root_hi")
     left, right = meta.toDF("cluster", "a", "lo_a", "hi_a", "first_a", "last_a"), meta.toDF("cluster", "b", "lo_b", "hi_b", "first_b", "last_b")
     near = (F.col("a") <= F.col("b")) & (percent * F.col("lo_a") <= 100 * F.col("hi_b")) & (percent * F.col("lo_b") <= 100 * F.col("hi_a"))
@@ -297,58 +331,140 @@ def cluster_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     pairs = left.join(right, "cluster").where(near & apart).select("a", "b")
     data = blocks.select("block", "sids", "roots", "sizes", "prints")
     pairs = pairs.join(data.toDF("a", *[f"{c}_a" for c in data.columns[1:]]), "a").join(data.toDF("b", *[f"{c}_b" for c in data.columns[1:]]), "b")
-    return pairs.mapInArrow(comparer(percent), "a long, b long")
+    return pairs.mapInArrow(comparer(percent), "a long, b long").distinct()
+
+
+class Join:
+    """One run of the join: its tables, the links found so far and the components they make."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> None:
+        self.k, self.percent, self.scratch = k, percent, scratch
+        base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+        self.scanned = scratch(base.mapInArrow(measurer(k), "doc_id long, th long, n long, h1 long, h2 long"), "scanned")
+        live = self.scanned.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th")).alias("x"), F.min("n").alias("n"))
+        self.sets = unique(live.select("h1", "h2", "n", F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th")), scratch)
+        changed = self.sets.where("sid <> h1").select(F.col("h1").alias("a_"), F.col("h2").alias("b_"), F.col("sid").alias("s_"))
+        self.changed = None if changed.isEmpty() else changed
+        self.buckets = self.indexed(base.where("doc_id is not null").select("text"), 0)
+        some = self.buckets.select(F.col("sid").alias("s_")).distinct().join(self.sets, F.col("s_") == F.col("sid")).select("sid", "n", F.col("doc_id").alias("d_"), F.col("th").alias("t_"))
+        # Rows equal in doc_id and text are one before they are shuffled.
+        once = base.where("doc_id is not null").groupBy("doc_id", "th").agg(F.first("text").alias("text"))
+        self.texts = scratch(some.join(once, (F.col("d_") == F.col("doc_id")) & (F.col("t_") == F.col("th"))).select("sid", "n", "text"), "texts")
+        self.hits: list[DataFrame] = []
+        self.roots: DataFrame | None = None
+
+    def indexed(self, texts: DataFrame, number: int) -> DataFrame:
+        """sig, sid, info of the signatures that two sets share, and of sets whose needs aren't met."""
+        entries = texts.mapInArrow(indexer(self.k, self.percent, number), "h1 long, h2 long, sig long, info long")
+        if self.changed is not None:
+            entries = entries.join(self.changed, (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")), "left").withColumn("h1", F.coalesce("s_", "h1"))
+        by_sig = Window.partitionBy("sig")
+        entries = entries.select("sig", F.col("h1").alias("sid"), "info").withColumn("last", F.max("sid").over(by_sig)).withColumn("lead", F.min("sid").over(by_sig))
+        return self.scratch(entries.where((F.col("lead") < F.col("last")) | is_poor()).select("sig", "sid", "info").distinct(), "buckets")
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Compare pairs (a, b) word by word; what links is added to the links."""
+        texts = self.texts
+        with_a = pairs.join(texts.select("sid", "text").toDF("a", "text_a"), "a")
+        done = with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(self.k, self.percent), "a long, b long, hit boolean")
+        self.hits.append(self.scratch(done.where("hit").select("a", "b"), "hits"))
+        links = self.hits[0]
+        for more in self.hits[1:]:
+            links = links.unionAll(more)
+        self.roots = components(links, self.scratch)
+
+    def rooted(self, entries: DataFrame) -> DataFrame:
+        if self.roots is None:
+            return entries.withColumn("root", F.col("sid"))
+        return entries.join(self.roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
+
+    def open(self, entries: DataFrame) -> DataFrame:
+        """Entries with root, in buckets that hold different components, with the bucket's cost: how
+        many of other components a member meets, on average."""
+        rows = self.scratch(self.rooted(entries.where(~is_poor())), "rooted")
+        sizes = rows.groupBy("sig", "root").agg(F.count("*").alias("c")).groupBy(F.col("sig").alias("sig_")).agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("parts"))
+        sizes = sizes.where("parts > 1").select("sig_", ((F.col("c") * F.col("c") - F.col("q")) / (2 * F.col("c"))).alias("cost"))
+        return self.scratch(rows.join(sizes, F.col("sig") == F.col("sig_")).drop("sig_"), "open")
+
+    def leads(self, entries: DataFrame) -> None:
+        """Compare each set with one bucket mate of another component: of the buckets' least members
+        that with which it shares most, if it is as many as a link must share."""
+        order = F.xxhash64("sid", F.lit(len(self.hits)))
+        lead = entries.groupBy(F.col("sig").alias("sig_")).agg(F.min(F.struct(order.alias("o"), "sid", "root")).alias("x")).select("sig_", F.col("x.sid").alias("lead"), F.col("x.root").alias("lead_root"))
+        rows = entries.join(lead, F.col("sig") == F.col("sig_")).where("root <> lead_root")
+        shared = rows.groupBy("sid", "lead", below().alias("below"), spare().alias("spare")).agg(F.count("*").alias("c")).where("c > spare")
+        self.verify(self.scratch(shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("lead", F.struct("c", "lead")).alias("a")).select("a", "b"), "pairs"))
+
+    def level(self, entries: DataFrame, number: int) -> DataFrame | None:
+        """Find and verify the pairs of buckets that are worth their cost. The allocation is made set
+        by set: a segment in a bucket that is not worth it counts nothing, and sets whose remaining
+        ones are worth less than they need are given back (sid): they go to the next level."""
+        open_ = self.open(entries)
+        poor = entries.where(is_poor()).select("sid")
+        if open_.isEmpty():
+            return None if poor.isEmpty() else poor.distinct()
+        lost = open_.where(F.col("cost") > HOT).groupBy("sid", below().alias("below"), spare().alias("spare")).agg(F.sum(units()).alias("lost"))
+        lost = lost.select(F.col("sid").alias("s_"), F.col("below").alias("b_"), (F.col("spare") - F.col("lost")).alias("left"))
+        cool = open_.where(F.col("cost") <= HOT).withColumn("below", below()).join(lost, (F.col("sid") == F.col("s_")) & (F.col("below") == F.col("b_")), "left")
+        cool = cool.select("sig", "sid", "root", "below", is_less().alias("less"), F.coalesce("left", spare()).alias("left")).join(self.sets.select(F.col("sid").alias("s_"), "n"), F.col("sid") == F.col("s_")).drop("s_")
+        cool = self.scratch(cool, "cool")
+        a, b = (cool.toDF("sig", *[f"{c}_{x}" for c in cool.columns[1:]]) for x in "ab")
+        near = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & ~(F.col("less_a") & F.col("less_b")) & (F.col("below_a") + F.col("below_b") < 2)
+        near = near & (self.percent * F.col("n_a") <= 100 * F.col("n_b")) & (self.percent * F.col("n_b") <= 100 * F.col("n_a"))
+        pairs = a.join(b, "sig").where(near).groupBy(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).agg(F.count("*").alias("c"), F.max(F.greatest("left_a", "left_b")).alias("left"))
+        # Segments that differ use up what is spare, so that a link shares more than that; a shared deletion may be counted twice.
+        self.settle(pairs.where("c > left").select("a", "b") if not LEVELS[number].less else pairs.select("a", "b"))
+        failed = poor.unionAll(lost.where("left < 0").select(F.col("s_").alias("sid")))
+        failed = self.scratch(failed.distinct(), "failed")
+        return None if failed.isEmpty() else failed
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Verify pairs, those first that give each set one partner; what that joins is done."""
+        pairs = self.scratch(pairs, "candidates")
+        for turn in range(ROUNDS):
+            if pairs.isEmpty():
+                break
+            if turn == ROUNDS - 1:
+                self.verify(pairs)
+                break
+            some = self.scratch(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+            self.verify(some)
+            rest = pairs.join(some, ["a", "b"], "left_anti").join(self.roots.toDF("a", "root_a"), "a", "left").join(self.roots.toDF("b", "root_b"), "b", "left")
+            pairs = self.scratch(rest.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b"), "candidates")
+
+    def run(self) -> None:
+        for _ in range(LEADS):
+            open_ = self.open(self.buckets)
+            if open_.isEmpty():
+                break
+            self.leads(open_)
+        entries = self.buckets
+        for number in range(len(LEVELS)):
+            failed = self.level(entries, number)
+            if failed is None:
+                return
+            of_failed = failed.withColumnRenamed("sid", "f_")
+            if number + 1 < len(LEVELS):
+                entries = self.indexed(self.texts.join(of_failed, F.col("sid") == F.col("f_")).select("text"), number + 1)
+            else:
+                rest = self.open(entries.join(of_failed, F.col("sid") == F.col("f_"), "left_semi"))
+                if not rest.isEmpty():
+                    self.settle(cluster_pairs(rest.select("sig", "sid", "root"), self.texts, self.k, self.percent, self.scratch))
+
+    def result(self) -> DataFrame:
+        named = self.rooted(self.sets.select("h1", "h2", "sid", "doc_id"))
+        heads = self.scratch(named.groupBy("root").agg(F.min("doc_id").alias("component")).withColumnRenamed("root", "r_"), "heads")
+        named = self.scratch(named.join(heads, F.col("root") == F.col("r_")).select(F.col("h1").alias("a_"), F.col("h2").alias("b_"), "component"), "named")
+        on = (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
+        return self.scanned.join(named, on, "left").select("doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """What jaccard_components() gives, and th, the text's 64-bit hash."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
-    scanned = materialize(base.mapInArrow(measurer(k), "doc_id long, th long, n long, h1 long, h2 long"), "scanned")
-    live = scanned.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th")).alias("x"), F.min("n").alias("n"))
-    # Different sets of one h1 (N * N / 2 ** 65 of them among N, a handful at most) go by h2 instead.
-    clashes = [r.h1 for r in live.groupBy("h1").count().where("count > 1").select("h1").limit(10_000).collect()]
-    sid = F.when(F.col("h1").isin(clashes), F.col("h2")).otherwise(F.col("h1")) if clashes else F.col("h1")
-    sets = materialize(live.select("h1", "h2", "n", sid.alias("sid"), F.col("x.doc_id").alias("doc_id"), F.col("x.th").alias("th")), "sets")
-    allocation = allocate(base, k, percent)
-    indexed = base.where("doc_id is not null").select("text").mapInArrow(indexer(k, percent, allocation, frozenset(clashes), False), "sid long, full array<long>, less array<long>")
-    entries = indexed.select("sid", F.explode("full").alias("sig"), F.lit(0).alias("less"))
-    if any(v == 2 for x in allocation.values() for v in x.values()):
-        entries = entries.unionAll(indexed.select("sid", F.explode("less").alias("sig"), F.lit(1).alias("less")))
-    by_sig = Window.partitionBy("sig")
-    buckets = entries.withColumn("lead", F.min(F.when(F.col("less") == 0, F.col("sid"))).over(by_sig)).withColumn("last", F.max("sid").over(by_sig)).withColumn("first", F.min("sid").over(by_sig))
-    buckets = materialize(buckets.where("first < last and lead is not null").select("sig", "sid", "lead"), "buckets")
-    texts = buckets.select(F.col("sid").alias("s_")).distinct().join(sets, F.col("s_") == F.col("sid")).select("sid", "n", F.col("doc_id").alias("d_"), F.col("th").alias("t_"))
-    texts = texts.join(base.select("doc_id", "th", "text"), (F.col("d_") == F.col("doc_id")) & (F.col("t_") == F.col("th"))).select("sid", "n", "text").dropDuplicates(["sid"])
-    texts = materialize(texts, "texts")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(texts.select("sid", "text").toDF("a", "text_a"), "a")
-        return materialize(with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(k, percent), "a long, b long, hit boolean"), "verified")
-
-    shared = buckets.where("sid <> lead").groupBy("sid", "lead").agg(F.count("*").alias("c"))
-    done = verified(shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("a")).select("a", "b"))
-    roots = components(done.where("hit").select("a", "b"))
-    named = buckets.select("sig", "sid").distinct().join(roots, F.col("sid") == F.col("node"), "left").select("sig", "sid", F.coalesce("root", "sid").alias("root"))
-    named = named.withColumn("lo", F.min("root").over(by_sig)).withColumn("hi", F.max("root").over(by_sig)).where("lo < hi").drop("lo", "hi")
-    open_ = materialize(named, "open")
-    rest = cluster_pairs(open_, texts, k, percent).distinct() if not open_.isEmpty() else None
-    for turn in range(ROUNDS if rest is not None else 0):
-        rest = materialize(rest, "rest")
-        if rest.isEmpty():
-            break
-        some = rest if turn == ROUNDS - 1 else rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        fresh = verified(some)
-        done = done.unionAll(fresh)
-        if turn < ROUNDS - 1:
-            roots = components(done.where("hit").select("a", "b"))
-            rest = rest.join(fresh.select("a", "b"), ["a", "b"], "left_anti").join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
-            rest = rest.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
-    roots = components(done.where("hit").select("a", "b"))
-    named = sets.select("h1", "h2", "sid", "doc_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
-    heads = named.groupBy("root").agg(F.min("doc_id").alias("component")).withColumnRenamed("root", "r_")
-    named = named.join(heads, F.col("root") == F.col("r_")).select(F.col("h1").alias("a_"), F.col("h2").alias("b_"), "component")
-    out = scanned.select("doc_id", "th", "n", "h1", "h2").join(named, (F.col("h1") == F.col("a_")) & (F.col("h2") == F.col("b_")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    with Scratch(docs.sparkSession) as scratch:
+        join = Join(docs, k, percent, scratch)
+        join.run()
+        return materialize(join.result(), "classes")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -360,13 +476,15 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     nothing; rows with null doc_id link with nothing (component_id null); rows that repeat a doc_id
     link by their own texts; an empty table gives no rows; other columns are not looked at.
 
-    Equal sets are one from the start. Sets are indexed by segment signatures (see Bands and
-    signatures). In a bucket all are first compared with one member each, that with which they share most buckets; what that joins needs no further
-    comparison, so a large group of copies costs about its size. Documents of buckets that still
-    hold different components are then compared in blocks (see cluster_pairs), each with every other
-    of their cluster that lies in another component: first by fingerprints, which rule out a
-    pair only if it can't link, then on the words themselves. Nothing but equal sets is taken as a link
-    unverified; those are equal in 128 bits."""
+    Equal sets are one from the start. Sets are indexed by the signatures of their segments (see
+    index). Each set is first compared with one bucket mate or two; what that joins needs no further
+    comparison, so a large group of copies costs about its size. Then buckets that still hold
+    different components give pairs, as long as they are worth their cost; segments in dearer buckets
+    are left out, and sets that can't afford that are indexed again, by larger segments with
+    one-deletion neighbourhoods, then by single values. Sets that even these leave short are compared in
+    blocks (see cluster_pairs). Nothing but equal sets is taken as a link unverified; those are equal
+    in 128 bits. Any
+    HOT gives the same links. percent is from 67 to 100."""
     return classes(docs, k, percent).drop("th")
 
 

@@ -180,12 +180,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def scorer(terms: list[str], weights: np.ndarray):
+    """The first column with the score of the text, which is the second column or, where that is a
+    struct, its field text; the struct goes along, so that a text is sent once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(terms)
         for batch in batches:
-            texts = batch.column(1)
-            seen = np.array([voters.see(texts[i].as_py() or "") for i in range(len(texts))]).reshape(len(texts), len(terms) + 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(score(features(seen), weights))), *batch.columns[2:]], ["doc_id", "score", *batch.schema.names[2:]])
+            own = batch.column(1)
+            packed = pa.types.is_struct(own.type)
+            texts = own.field("text") if packed else own
+            seen = np.array([voters.see(t.as_py() or "") for t in texts]).reshape(len(texts), len(terms) + 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(score(features(seen), weights))), *([own] if packed else [])], ["doc_id", "score", *(["row_"] if packed else [])])
 
     return run
 
@@ -210,8 +215,6 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     """The rows of docs, all their columns, that toxicity() doesn't reject; scored in place, so rows
     that repeat a doc_id are judged by their own texts."""
     terms, weights = learn(docs, labels)
-    columns = [c for c in docs.columns if c not in ("doc_id", "text")]
-    packed = docs.select("doc_id", "text", F.struct("text", *columns).alias("rest_"))
-    inner = packed.schema["rest_"].dataType.simpleString()
-    kept = packed.mapInArrow(scorer(terms, weights), f"doc_id long, score double, rest_ {inner}").where(F.col("score") < threshold)
-    return kept.select("doc_id", *[F.col("rest_")[c].alias(c) for c in docs.columns if c != "doc_id"]).select(*docs.columns)
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("row_"))
+    kept = packed.mapInArrow(scorer(terms, weights), f"doc_id long, score double, row_ {packed.schema['row_'].dataType.simpleString()}").where(F.col("score") < threshold)
+    return kept.select(*[F.col("row_")[c].alias(c) for c in docs.columns])

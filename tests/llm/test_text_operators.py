@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,18 +68,78 @@ def near():
 
 
 @pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
-@pytest.mark.parametrize("swap", [False, True])
-def test_join(spark, near, monkeypatch, k, percent, swap):
-    monkeypatch.setattr(ngram_join, "BLOCK", 8)
-    monkeypatch.setattr(ngram_join, "LEAST_PRINT", 8)
-    if swap:  # every band leaves its first segment out and allows a difference of one in the second
-        many = {b: {0: 0, 1: 2} for b in range(40) if ngram_join.Bands(percent).segments(b) > 1}
-        monkeypatch.setattr(ngram_join, "allocate", lambda *a: many)
+@pytest.mark.parametrize("hot", [32, 0.4, 0])
+def test_join(spark, near, monkeypatch, k, percent, hot):
+    """With buckets that are never, sometimes or always too dear, so that all levels and the blocks run."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    if hot < 32:
+        monkeypatch.setattr(ngram_join, "LEADS", 0)
+        monkeypatch.setattr(ngram_join, "BLOCK", 8)
+        monkeypatch.setattr(ngram_join, "LEAST_PRINT", 8)
     df = spark.createDataFrame([(*r, 1, "z") for r in near], "doc_id long, text string, n int, h1 string").repartition(4)
     want = collections.Counter(classes(near, k, percent))
     assert collections.Counter(tuple(r) for r in ngram_join.jaccard_components(df, k, percent).collect()) == want
 
 
+def test_join_where_identities_clash(spark, near, monkeypatch):
+    """Sets whose first number is the same are still told apart."""
+    real = ngram_join.identities
+    monkeypatch.setattr(ngram_join, "identities", lambda v, s: (real(v, s)[0] % 7, real(v, s)[1]))
+    monkeypatch.setattr(ngram_join, "SEEN", 3)
+    df = spark.createDataFrame(near, "doc_id long, text string").repartition(3)
+    want = collections.Counter(classes(near, 3, 90))
+    assert collections.Counter(tuple(r) for r in ngram_join.jaccard_components(df, 3, 90).collect()) == want
+
+
+def pairs_of_sets(rng, k, percent):
+    """Pairs of sets of many sizes about the limit, as sorted values."""
+    for _ in range(300):
+        n = rng.choice([2, 4, 5, 7, 11, 20, 40, 90, 250])
+        a = rng.sample(range(1 << 60), n)
+        b = [x for x in a if rng.random() > rng.choice([0.02, 0.08, 0.15])]
+        b += [rng.randrange(1 << 60) for _ in range(rng.randint(0, max(1, n // 8)))]
+        both = len(set(a) & set(b))
+        if b and 100 * both >= percent * (len(a) + len(b) - both):
+            yield sorted(a), sorted(b)
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90])
+@pytest.mark.parametrize("number", [0, 1, 2])
+def test_linking_sets_share_what_the_pigeonhole_says(percent, number):
+    """Whatever is too dear, the side whose other segments are worth its need shares one with the other."""
+    rng, bands, checked = random.Random(percent), ngram_join.Bands(percent), 0
+    for a, b in pairs_of_sets(rng, 3, percent):
+        if a == b:
+            continue
+        values, start = np.array(a + b, np.uint64), np.array([0, len(a), len(a) + len(b)])
+        rows = [(int(d), int(s), int(i)) for doc, sig, info in ngram_join.index(values, start, bands, number) for d, s, i in zip(doc, sig, info, strict=True)]
+        sigs = [{s for d, s, i in rows if d == side and not i & 16} for side in (0, 1)]
+        dear = set(rng.sample(sorted(sigs[0] & sigs[1]), len(sigs[0] & sigs[1]) // 3)) | set(rng.sample(sorted(sigs[0]), len(sigs[0]) // 20))
+        for side in (0, 1):
+            for below in (0, 1):
+                mine = [(s, i) for d, s, i in rows if d == side and i & 1 == below]
+                if any(i & 16 for _, i in mine) or not mine:
+                    continue
+                left = (mine[0][1] >> 5) - sum(i >> 2 & 3 for s, i in mine if s in dear)
+                other = {s for d, s, i in rows if d != side and not i & 16}
+                bands_meet = bands.of(np.array([len(a)]))[0] - bands.of(np.array([len(b)]))[0]
+                if left >= 0 and (bands_meet == 0 and not below or abs(bands_meet) == 1 and (len((a, b)[side]) > len((a, b)[1 - side])) == bool(below)):
+                    shared = {s for s, _ in mine} & other - dear
+                    assert len(shared) > (left if number != 1 else 0)
+                    checked += 1
+    assert checked > 20
+
+
+def test_unrelated_sets_share_nothing():
+    """Empty segments have no signature, so sets of nothing in common meet in no bucket."""
+    rng = np.random.default_rng(5)
+    for n in (12, 94, 500, 2000):
+        sets = np.sort(rng.integers(0, 1 << 60, (200, n)).astype(np.uint64), axis=1)
+        for number in range(3):
+            found = collections.Counter(s for _, sig, _ in ngram_join.index(sets.ravel(), np.arange(201) * n, ngram_join.Bands(80), number) for s in np.unique(sig).tolist())
+            assert max(found.values()) <= (2 if number == 1 else 1) or number == 1
+
+
 def test_join_edges(spark, near):
     df = spark.createDataFrame(near, "doc_id long, text string")
     assert ngram_join.jaccard_components(df.limit(0)).count() == 0
