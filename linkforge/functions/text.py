@@ -14,8 +14,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words of legal form and of addresses that carry no identity.
-LEGAL = "inc incorporated corp corporation co company llc ltd limited pvt private plc gmbh sarl sas sa the".split()
-ADDRESS_WORDS = "road rd street st avenue ave lane ln drive dr building bldg floor fl unit suite ste near opp opposite district dist state".split()
+LEGAL = ("inc", "incorporated", "corp", "corporation", "co", "company", "llc", "ltd", "limited", "pvt", "private", "plc", "gmbh", "sarl", "sas", "sa", "the")
+ADDRESS_WORDS = (
+    "road", "rd", "street", "st", "avenue", "ave", "lane", "ln", "drive", "dr", "building", "bldg", "floor", "fl", "unit", "suite", "ste",
+    "near", "opp", "opposite", "district", "dist", "state",
+)
 
 
 def let(value: Column, body) -> Column:
@@ -69,8 +72,8 @@ def tokens(normal: Column) -> Column:
     return F.filter(F.split(normal, " "), lambda t: t != "")
 
 
-def without(array: Column, words: list[str]) -> Column:
-    return F.filter(array, lambda t: ~t.isin(words))
+def without(array: Column, words: tuple[str, ...]) -> Column:
+    return F.filter(array, lambda t: ~t.isin(*words))
 
 
 def name_tokens(normal: Column) -> Column:

@@ -128,10 +128,9 @@ def candidate_lists(query_ids: DataFrame, found: DataFrame, order: str = "rank")
     return query_ids.select(F.col("entity_id").alias("source1_entity_id")).join(lists, F.col("source1_entity_id") == F.col("query_id"), "left").select("source1_entity_id", F.coalesce("ids", F.lit("")).alias("candidate_entity_ids"))
 
 
-def blocking_stats(records: DataFrame, config: Blocking) -> DataFrame:
-    """One row: queries, with_candidates, candidate_links, skipped_keys, capped_queries."""
-    queries, targets = sources(records)
-    q, index = exploded_keys(queries), exploded_keys(targets)
+def blocking_stats(queries: DataFrame, q: DataFrame, index: DataFrame, config: Blocking) -> DataFrame:
+    """One row: queries, with_candidates, candidate_links, skipped_keys, capped_queries; q and index are
+    the exploded keys of queries and targets."""
     scores = candidate_scores(q, index, config.max_block_size).groupBy("query_id").agg(F.count("*").alias("n"))
     cap = F.lit(config.max_candidates if config.max_candidates is not None else (1 << 31) - 1)
     per = scores.agg(F.count("*").alias("with_candidates"), F.coalesce(F.sum(F.least("n", cap)), F.lit(0)).alias("candidate_links"), F.count(F.when(F.col("n") > cap, 1)).alias("capped_queries"))

@@ -39,10 +39,10 @@ def feature_columns(q: str = "q", t: str = "t") -> dict[str, Column]:
     return dict(zip(FEATURES, values, strict=True))
 
 
-def paired(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """pairs (query_id, target_id, ...) with structs q and t. Ids are joined first, records are
-    shuffled once a side; a pair whose target is unknown is dropped (see missing_targets)."""
-    rows = record_features(records)
+def paired(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """pairs (query_id, target_id, ...) with structs q and t of rows (record_features()). Ids are
+    joined first, records are shuffled once a side; a pair whose target is unknown is dropped (see
+    missing_targets)."""
     q = rows.select(F.col("entity_id").alias("query_id"), F.struct("*").alias("q"))
     t = rows.select(F.col("entity_id").alias("target_id"), F.struct("*").alias("t"))
     return pairs.join(q, "query_id").join(t, "target_id")
@@ -53,8 +53,14 @@ def missing_targets(pairs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """query_id, target_id, rank (where pairs have it), the twelve features, countries_differ."""
-    joined = paired(pairs, records)
+    """features_of() of records whose features are made on the way."""
+    return features_of(pairs, record_features(records))
+
+
+def features_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """query_id, target_id, rank (where pairs have it), the twelve features, countries_differ, from
+    record features."""
+    joined = paired(pairs, rows)
     keep = [c for c in ("query_id", "target_id", "rank") if c in pairs.columns]
     differ = ((F.col("q.country") != "") & (F.col("t.country") != "") & (F.col("q.country") != F.col("t.country"))).alias("countries_differ")
     return joined.select(*keep, *[v.alias(k) for k, v in feature_columns().items()], differ)
@@ -108,5 +114,9 @@ def scored(pairs: DataFrame, records: DataFrame, model: dict | None = None, cand
     candidate_limit candidates of each query."""
     if candidate_limit is not None:
         pairs = pairs.where(F.col("rank") <= candidate_limit)
-    features = pair_features(pairs, records)
+    return score(pair_features(pairs, records), model)
+
+
+def score(features: DataFrame, model: dict | None = None) -> DataFrame:
+    """features with score: heuristic, or the model's probability."""
     return with_heuristic_score(features) if model is None else features.withColumn("score", model_probability(model))

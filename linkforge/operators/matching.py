@@ -14,7 +14,7 @@ POLICIES = ("empty", "pass-through", "scored-threshold", "top-k")
 class Matching:
     threshold: float = 0.90
     max_matches: int | None = None
-    policy: str = "top-k"
+    policy: str = "empty"
     min_query_probability: float | None = None
 
     def __post_init__(self) -> None:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_holdout
+from ..sources.shared import materialize
 from . import evaluate
-from .features import FEATURES, model_probability
+from .features import FEATURES, model_probability, sigmoid
 
 
 def labelled_pairs(features: DataFrame, truth: DataFrame) -> DataFrame:
@@ -28,46 +31,43 @@ def class_sample(labelled: DataFrame, per_class: int, seed: str = "") -> DataFra
     return labelled.withColumn("sample_key", order).withColumn("sample_rank", rank).where(F.col("sample_rank") <= per_class)
 
 
-def fit_logistic(sample: DataFrame, epochs: int = 20, seed: int = 13, batch: int = 16384, rate: float = 0.20, l2: float = 0.01) -> tuple[float, list[float]]:
-    """(bias, weights) by mini-batch gradient steps with decaying weights, on a class sample, whose
-    size its cap bounds."""
-    rows = sample.select(*[F.col(c).cast("float").cast("double") for c in FEATURES], F.col("label").cast("double").alias("label")).orderBy(*FEATURES, "label").toArrow()
-    data = np.stack([rows.column(i).to_numpy() for i in range(len(FEATURES) + 1)], 1) if rows.num_rows else np.zeros((0, len(FEATURES) + 1))
-    x, y, generator = data[:, :-1], data[:, -1], np.random.default_rng(seed)
-    bias, weights = 0.0, np.zeros(len(FEATURES))
-    for _ in range(epochs):
-        shuffled = generator.permutation(len(y))
-        for some in np.split(shuffled, range(batch, len(y), batch)) if len(y) else ():
-            error = 1 / (1 + np.exp(-np.clip(x[some] @ weights + bias, -30, 30))) - y[some]
-            weights = weights - rate * (x[some].T @ error / len(some) + l2 * weights)
-            bias -= rate * float(error.mean())
-    return bias, weights.tolist()
-
-
-def fit_mllib(sample: DataFrame, reg: float = 0.01) -> tuple[float, list[float]]:
-    """(bias, weights) by MLlib, for samples of any size."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, standardization=False).fit(rows)
-    return float(model.intercept), [float(w) for w in model.coefficients]
+def fit_logistic(sample: DataFrame, l2: float = 0.01, rounds: int = 25, close: float = 1e-10) -> tuple[float, list[float]]:
+    """(bias, weights) that minimize the mean logistic loss plus l2 / 2 times the squared weights, the
+    bias free. Newton steps: each is one aggregate over the executors, of as many numbers as pairs of
+    features, so the sample may be of any size. Without rows all are 0."""
+    names, n = [*FEATURES, "one"], len(FEATURES) + 1
+    rows = sample.select(*[F.col(c).cast("double").alias(c) for c in FEATURES], F.lit(1.0).alias("one"), F.col("label").cast("double").alias("label"))
+    w = np.zeros(n)
+    penalty = np.r_[np.full(n - 1, l2), 0.0]
+    for _ in range(rounds):
+        z = reduce(add, [F.col(c) * F.lit(float(x)) for c, x in zip(names, w, strict=True)])
+        at = rows.withColumn("p", sigmoid(z)).withColumn("v", F.col("p") * (1 - F.col("p")))
+        sums = at.agg(F.count("*"), *[F.sum((F.col("p") - F.col("label")) * F.col(c)) for c in names], *[F.sum(F.col("v") * F.col(names[i]) * F.col(names[j])) for i in range(n) for j in range(i + 1)]).first()
+        if not sums[0]:
+            break
+        gradient, curve = np.array(sums[1 : n + 1]) / sums[0] + penalty * w, np.zeros((n, n))
+        curve[np.tril_indices(n)] = np.array(sums[n + 1 :]) / sums[0]
+        curve += np.tril(curve, -1).T + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(curve, gradient)
+        # Far from the optimum a whole step can overshoot.
+        w = w - step * min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
+        if np.abs(step).max() < close:
+            break
+    return float(w[-1]), w[:-1].tolist()
 
 
 def train(features: DataFrame, truth: DataFrame, entities: DataFrame, per_class: int = 200_000, thresholds: Sequence[float] = (), seed: str = "train") -> dict:
     """Fit on pairs outside the holdout, tune threshold, cap and gate on the holdout, fit again on
     both, and return the model as written by write_model()."""
-    spark = features.sparkSession
     labelled = labelled_pairs(features, truth)
-    train_sample, held = class_sample(labelled.where("not holdout"), per_class, seed), labelled.where("holdout")
+    train_sample, held = materialize(class_sample(labelled.where("not holdout"), per_class, seed), "sample"), labelled.where("holdout")
     bias, weights = fit_logistic(train_sample)
-    points = evaluate.grid(spark, thresholds or evaluate.threshold_values(0.50, 0.95, 0.05), evaluate.LIMITS, evaluate.GATES)
     scored = held.withColumn("score", model_probability({"bias": bias, "weights": weights}))
-    results = evaluate.tune(entities.where(is_holdout(F.col("query_id"))), truth, scored, points)
+    results = evaluate.tune(entities.where(is_holdout(F.col("query_id"))), truth, scored, thresholds or evaluate.even_values(0.50, 0.95, 0.05), evaluate.LIMITS, evaluate.GATES)
     best = [r.asDict() for r in evaluate.best_tuned(results).collect()]
     if not best:
         raise ValueError("no entity is held out")
-    everything = train_sample.unionByName(class_sample(held, per_class, seed))
+    everything = materialize(train_sample.unionByName(class_sample(held, per_class, seed)), "sample")
     bias, weights = fit_logistic(everything)
     counts = {str(r.label): r["count"] for r in everything.groupBy("label").count().collect()}
     top = best[0]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from ..functions.text import ADDRESS_WORDS, LEGAL
 from ..operators.blocking import KEY_WEIGHTS
-from ..operators.evaluate import CUTOFFS, GATES, LIMITS, MATCH_CAPS, NONE, cutoff_name, threshold_values
+from ..operators.evaluate import CUTOFFS, GATES, LIMITS, MATCH_CAPS, NONE, STEPS, cutoff_name, threshold_values
 from ..operators.features import FEATURES, HEURISTIC
 from .queries import CONFIG, FRACTION, MODEL, PER_CLASS, PER_COUNTRY, SEED, THRESHOLD
 
 
-def _in(words: list[str]) -> str:
+def _in(words: tuple[str, ...]) -> str:
     return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
@@ -40,7 +40,13 @@ def _f05(n: str, p: str, tp: str) -> str:
     return f"CASE WHEN {n} = 0 AND {p} = 0 THEN 1.0 WHEN {n} = 0 OR {p} = 0 OR {tp} = 0 THEN 0.0 ELSE 1.25 * {precision} * {recall} / (0.25 * {precision} + {recall}) END"
 
 
-_MACRO = """coalesce(avg(f05), 0.0) AS macro_f05, coalesce(avg(f05) FILTER (n_truth = 0), 0.0) AS singleton_f05, coalesce(avg(f05) FILTER (n_truth > 0), 0.0) AS non_singleton_f05,
+def _mean(value: str, where: str = "true") -> str:
+    """The average in whole steps, which are added exactly."""
+    total, count = f"sum(CAST(floor(({value}) * {float(STEPS)}) AS HUGEINT)) FILTER ({where})", f"count(*) FILTER ({where})"
+    return f"CASE WHEN {count} > 0 THEN CAST({total} AS DOUBLE) / {float(STEPS)} / CAST({count} AS DOUBLE) ELSE 0.0 END"
+
+
+_MACRO = f"""{_mean('f05')} AS macro_f05, {_mean('f05', 'n_truth = 0')} AS singleton_f05, {_mean('f05', 'n_truth > 0')} AS non_singleton_f05,
     count(*) AS entities, count(*) FILTER (n_truth = 0) AS singletons"""
 _WORD = "'^(\\p{L})+$'"
 _LINEAR = " + ".join(f"{k} * {w}" for k, w in zip(FEATURES, HEURISTIC, strict=False))
@@ -125,7 +131,7 @@ def _recall(by: str) -> str:
 
 def _oracle(by: str) -> str:
     key = f"{by}, " if by else ""
-    return f"""SELECT {key}cutoff, match_cap, avg({_f05('n_truth', 'tp', 'tp')}) AS oracle_f05 FROM (SELECT {key}q.query_id, cutoff, match_cap, count(target_id) AS n_truth, least(count(*) FILTER (rank <= top), cap) AS tp
+    return f"""SELECT {key}cutoff, match_cap, {_mean(_f05('n_truth', 'tp', 'tp'))} AS oracle_f05 FROM (SELECT {key}q.query_id, cutoff, match_cap, count(target_id) AS n_truth, least(count(*) FILTER (rank <= top), cap) AS tp
         FROM q CROSS JOIN {_rows('x(cutoff, top)', _CUT)} CROSS JOIN {_rows('y(match_cap, cap)', _CAP)} LEFT JOIN tr USING (query_id) GROUP BY {key}q.query_id, cutoff, match_cap, cap) GROUP BY ALL"""
 
 
@@ -165,7 +171,7 @@ LAST: dict[str, str] = {
     "pair_features": "SELECT * EXCLUDE (rank, differ) FROM pf",
     "heuristic_scores": "SELECT * FROM sc",
     "scored_prefix": "SELECT query_id, target_id, score FROM sc WHERE rank <= 3",
-    "model_scores": f"SELECT query_id, target_id, 1.0 / (1.0 + exp(-({_LOGIT}))) AS score FROM pf",
+    "model_scores": f"SELECT query_id, target_id, CASE WHEN z >= 0 THEN 1.0 / (1.0 + exp(-least(z, 60.0))) ELSE exp(greatest(z, -60.0)) / (1.0 + exp(greatest(z, -60.0))) END AS score FROM (SELECT *, {_LOGIT} AS z FROM pf)",
     "missing_targets": "SELECT query_id, count(*) AS missing FROM cand WHERE target_id LIKE '%1' GROUP BY 1",
     "matches_topk": "SELECT * FROM m WHERE match_rank <= 3",
     "matches_threshold": f"SELECT * FROM (SELECT query_id, target_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS match_rank FROM sc WHERE score >= {THRESHOLD}) WHERE match_rank <= 2",

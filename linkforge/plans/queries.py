@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators import matching as M
 from ..operators import profile as P
 from ..operators import training as R
 from ..operators import validate as V
+from ..sources.shared import materialize
 from . import adapter
 
 CONFIG = B.Blocking(max_block_size=20, max_candidates=10)
@@ -24,29 +26,59 @@ MODEL = {"bias": -4.0, "weights": [2.0, 1.5, 2.5, 1.0, 0.5, 1.0, 0.25, 0.5, 1.0,
 
 
 class Context:
+    """What queries share, each table made when it is first asked for and written once: prepared
+    records, their keys, their features, the candidates."""
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.docs = spark, adapter.documents(spark, sf_dir)
-        self.records = adapter.records(self.docs)
-        self.queries, self.targets = B.sources(self.records)
-        self.entities = self.queries.select(F.col("entity_id").alias("query_id"), "country")
+
+    @cached_property
+    def prepared(self) -> DataFrame:
+        return materialize(adapter.prepared(self.docs), "records")
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return adapter.records(self.prepared)
+
+    @property
+    def queries(self) -> DataFrame:
+        return B.sources(self.records)[0]
+
+    @property
+    def targets(self) -> DataFrame:
+        return B.sources(self.records)[1]
+
+    @property
+    def entities(self) -> DataFrame:
+        return self.queries.select(F.col("entity_id").alias("query_id"), "country")
+
+    @cached_property
+    def all_keys(self) -> DataFrame:
+        return materialize(B.exploded_keys(self.records), "keys")
 
     def keys(self) -> tuple[DataFrame, DataFrame]:
-        return B.exploded_keys(self.queries), B.exploded_keys(self.targets)
+        return B.sources(self.all_keys)
 
     def scores(self) -> DataFrame:
         return B.candidate_scores(*self.keys(), CONFIG.max_block_size)
 
+    @cached_property
     def candidates(self) -> DataFrame:
-        return B.candidates(self.records, CONFIG)
+        return materialize(B.ranked(self.scores(), CONFIG.max_candidates), "candidates")
+
+    @cached_property
+    def record_features(self) -> DataFrame:
+        return materialize(X.record_features(self.records), "features")
 
+    @cached_property
     def features(self) -> DataFrame:
-        return X.pair_features(self.candidates(), self.records)
+        return materialize(X.features_of(self.candidates, self.record_features), "pairs")
 
     def scored(self) -> DataFrame:
-        return X.scored(self.candidates(), self.records)
+        return X.with_heuristic_score(self.features)
 
     def truth(self, kind: str = "body") -> DataFrame:
-        return adapter.truth(self.docs, kind)
+        return adapter.truth(self.prepared, kind)
 
     def matches(self, policy: str = "top-k", **more) -> DataFrame:
         return M.select_matches(self.scored(), M.Matching(THRESHOLD, policy=policy, **more))
@@ -87,13 +119,13 @@ def char_grams(c: Context) -> DataFrame:
 
 @query
 def useful_tokens(c: Context) -> DataFrame:
-    rows = X.record_features(c.records)
+    rows = c.record_features
     return rows.select("entity_id", *[F.array_join(F.array_sort(a), " ").alias(b) for a, b in (("name.tokens", "name_tokens"), ("address.tokens", "address_tokens"), ("address.numbers", "address_numbers"))])
 
 
 @query
 def block_keys_long(c: Context) -> DataFrame:
-    return B.exploded_keys(c.records)
+    return c.all_keys
 
 
 @query
@@ -134,27 +166,27 @@ def candidate_scores(c: Context) -> DataFrame:
 
 @query
 def candidate_topk(c: Context) -> DataFrame:
-    return c.candidates()
+    return c.candidates
 
 
 @query
 def top1_baseline(c: Context) -> DataFrame:
-    return c.candidates().where("rank = 1").select("query_id", "target_id")
+    return c.candidates.where("rank = 1").select("query_id", "target_id")
 
 
 @query
 def candidate_lists(c: Context) -> DataFrame:
-    return B.candidate_lists(c.queries, c.candidates())
+    return B.candidate_lists(c.queries, c.candidates)
 
 
 @query
 def candidate_lists_by_id(c: Context) -> DataFrame:
-    return B.candidate_lists(c.queries, c.candidates(), "id")
+    return B.candidate_lists(c.queries, c.candidates, "id")
 
 
 @query
 def candidates_unlimited(c: Context) -> DataFrame:
-    return B.candidates(c.records, B.Blocking(None, None))
+    return B.ranked(B.candidate_scores(*c.keys(), None), None)
 
 
 @query
@@ -164,12 +196,12 @@ def capped_queries(c: Context) -> DataFrame:
 
 @query
 def blocking_stats(c: Context) -> DataFrame:
-    return B.blocking_stats(c.records, CONFIG)
+    return B.blocking_stats(c.queries, *c.keys(), CONFIG)
 
 
 @query
 def pair_features(c: Context) -> DataFrame:
-    return c.features().drop("rank", "countries_differ")
+    return c.features.drop("rank", "countries_differ")
 
 
 @query
@@ -179,18 +211,18 @@ def heuristic_scores(c: Context) -> DataFrame:
 
 @query
 def scored_prefix(c: Context) -> DataFrame:
-    return X.scored(c.candidates(), c.records, candidate_limit=3).select("query_id", "target_id", "score")
+    return X.score(c.features.where("rank <= 3")).select("query_id", "target_id", "score")
 
 
 @query
 def model_scores(c: Context) -> DataFrame:
-    return X.scored(c.candidates(), c.records, MODEL).select("query_id", "target_id", "score")
+    return X.score(c.features, MODEL).select("query_id", "target_id", "score")
 
 
 @query
 def missing_targets(c: Context) -> DataFrame:
     known = c.records.where(~F.col("entity_id").endswith("1"))
-    return X.missing_targets(c.candidates(), known).groupBy("query_id").agg(F.count("*").alias("missing"))
+    return X.missing_targets(c.candidates, known).groupBy("query_id").agg(F.count("*").alias("missing"))
 
 
 @query
@@ -225,22 +257,22 @@ def match_lists(c: Context) -> DataFrame:
 
 @query
 def output_stats(c: Context) -> DataFrame:
-    return M.output_stats(c.queries, c.candidates(), c.matches())
+    return M.output_stats(c.queries, c.candidates, c.matches())
 
 
 @query
 def labelled_pairs(c: Context) -> DataFrame:
-    return R.labelled_pairs(c.candidates(), c.truth()).select("query_id", "target_id", "label", "holdout")
+    return R.labelled_pairs(c.candidates, c.truth()).select("query_id", "target_id", "label", "holdout")
 
 
 @query
 def class_sample(c: Context) -> DataFrame:
-    return R.class_sample(R.labelled_pairs(c.candidates(), c.truth()), PER_CLASS, SEED).select("query_id", "target_id", "label")
+    return R.class_sample(R.labelled_pairs(c.candidates, c.truth()), PER_CLASS, SEED).select("query_id", "target_id", "label")
 
 
 @query
 def fit_logistic(c: Context) -> DataFrame:
-    bias, weights = R.fit_logistic(R.class_sample(R.labelled_pairs(c.features(), c.truth()), 20_000, SEED))
+    bias, weights = R.fit_logistic(materialize(R.class_sample(R.labelled_pairs(c.features, c.truth()), 20_000, SEED), "sample"))
     return c.spark.createDataFrame([("bias", bias), *zip(X.FEATURES, weights, strict=True)], "name string, weight double")
 
 
@@ -266,8 +298,7 @@ def macro_f05_head(c: Context) -> DataFrame:
 
 @query
 def threshold_grid(c: Context) -> DataFrame:
-    points = E.grid(c.spark, E.threshold_values(0.50, 0.95, 0.05))
-    return E.tune(c.entities, c.truth(), c.scored(), points).select("threshold", "macro_f05", "singleton_f05", "non_singleton_f05", "entities", "singletons")
+    return E.tune(c.entities, c.truth(), c.scored(), E.threshold_values(0.50, 0.95, 0.05)).select("threshold", "macro_f05", "singleton_f05", "non_singleton_f05", "entities", "singletons")
 
 
 @query
@@ -277,49 +308,48 @@ def best_threshold(c: Context) -> DataFrame:
 
 @query
 def tune_grid(c: Context) -> DataFrame:
-    points = E.grid(c.spark, E.threshold_values(0.60, 0.90, 0.10), E.LIMITS, E.GATES)
-    return E.tune(c.entities, c.truth(), c.scored(), points)
+    return E.tune(c.entities, c.truth(), c.scored(), E.threshold_values(0.60, 0.90, 0.10), E.LIMITS, E.GATES)
 
 
 @query
 def coverage_recall_at_k(c: Context) -> DataFrame:
-    return E.recall_at(c.truth(), c.candidates())
+    return E.recall_at(c.truth(), c.candidates)
 
 
 @query
 def coverage_recall_by_country(c: Context) -> DataFrame:
     truth = c.truth().join(c.entities, "query_id")
-    return E.recall_at(truth, c.candidates(), "country")
+    return E.recall_at(truth, c.candidates, "country")
 
 
 @query
 def rank_histogram(c: Context) -> DataFrame:
-    return E.rank_histogram(c.truth(), c.candidates())
+    return E.rank_histogram(c.truth(), c.candidates)
 
 
 @query
 def coverage_oracle(c: Context) -> DataFrame:
-    return E.oracle_grid(c.entities, c.truth(), c.candidates())
+    return E.oracle_grid(c.entities, c.truth(), c.candidates)
 
 
 @query
 def coverage_oracle_by_country(c: Context) -> DataFrame:
-    return E.oracle_grid(c.entities, c.truth(), c.candidates(), "country")
+    return E.oracle_grid(c.entities, c.truth(), c.candidates, "country")
 
 
 @query
 def coverage_by_country(c: Context) -> DataFrame:
-    return E.coverage_by_country(c.entities, c.truth(), c.candidates())
+    return E.coverage_by_country(c.entities, c.truth(), c.candidates)
 
 
 @query
 def coverage_totals(c: Context) -> DataFrame:
-    return E.coverage_totals(c.entities, c.truth(), c.candidates())
+    return E.coverage_totals(c.entities, c.truth(), c.candidates)
 
 
 @query
 def coverage_violations(c: Context) -> DataFrame:
-    lists = B.candidate_lists(c.queries, c.candidates())
+    lists = B.candidate_lists(c.queries, c.candidates)
     return E.coverage_violations(c.entities.where(~F.col("query_id").endswith("3")), lists)
 
 
@@ -360,7 +390,7 @@ def dev_sample(c: Context) -> DataFrame:
 
 @query
 def validate_output_violations(c: Context) -> DataFrame:
-    found = c.candidates()
+    found = c.candidates
     known = c.targets.where(~F.col("entity_id").endswith("7"))
     return V.output_violations(c.queries, known, B.candidate_lists(c.queries, found.where("rank <= 5")), M.match_lists(c.queries, c.matches()))
 
