@@ -48,8 +48,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256.0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,12 +107,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id > first_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f ON p.d = f.d""",
     "op6_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+        WITH v AS MATERIALIZED (SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
                    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
-             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+             s AS (SELECT q.u, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.u <> c.u WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op8_substring_dedup": """
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
              n AS (SELECT doc_id, ws, unnest(range(1, CAST(len(ws) - 48 AS BIGINT))) AS i FROM w WHERE len(ws) >= 50),

@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts_for
+from .common import Scratch, materialize, parts_for
 from .hashing import Words, pieces, runs
 
 #: Words of a window, and of the run whose least hash is the window's minimiser.
 WINDOW, MINIMISER = 50, 16
-#: Buckets with more different super-k-mers than this are counted window by window instead.
-HEAVY = 20_000
+#: Buckets of more windows than this are counted window by window, over many tasks; the result is the same.
+HEAVY = 40_000
 
 
 def super_kmers(words: Words, window: int, minimiser: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -173,28 +173,32 @@ def passages(docs: DataFrame, window: int, minimiser: int, texts: bool) -> tuple
     """(a row a document: doc_id, th, n_words, sha; what is left, d_, t_, n_removed, kept_sha,
     kept_text, of each different (doc_id, th) that loses words). th: the text's 64-bit hash."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
-    found = materialize(base.mapInArrow(scan(window, minimiser), "doc_id long, th long, n_words long, sha string, ms array<long>"), "scanned")
-    each = found.where("doc_id is not null").select("doc_id", "th", F.explode("ms").alias("m"))
-    shared = each.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select(F.col("m").alias("m_"))
-    of_doc = each.join(shared, F.col("m") == F.col("m_")).groupBy(F.col("doc_id").alias("d_"), F.col("th").alias("t_")).agg(F.collect_set("m").alias("shared"))
-    some = base.join(of_doc, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_"))).select("doc_id", "th", "text", "shared").dropDuplicates(["doc_id", "th"])
-    some = materialize(some, "candidates")
-    occ = materialize(some.mapInArrow(packer(window, minimiser), "key binary, m long, packed binary, doc_id long, th long, start int, n int"), "superkmers")
-    kinds = materialize(occ.groupBy("key", "m", "packed").agg(F.min("doc_id").alias("first")), "kinds")
-    heavy = materialize(kinds.groupBy("m").count().where(F.col("count") > HEAVY).select(F.col("m").alias("m_")), "heavy")
-    on = F.col("m") == F.col("m_")
-    light = kinds.join(heavy, on, "left_anti").repartition(parts_for(docs.sparkSession), "m").sortWithinPartitions("m")
-    mins = light.mapInArrow(bucket_counter(window), "key binary, mins array<long>")
-    if not heavy.isEmpty():
-        single = materialize(kinds.join(heavy, on, "left_semi").mapInArrow(unpacker(window), "window binary, first long, key binary, i int"), "windows")
-        least = single.groupBy("window").agg(F.min("first").alias("least")).withColumnRenamed("window", "w_")
-        again = single.join(least, F.col("window") == F.col("w_")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "least"))).alias("x"))
-        mins = mins.unionAll(again.select("key", F.col("x.least").alias("mins")))
-    hits = occ.select("key", "doc_id", "th", "start", "n").join(mins.withColumnRenamed("key", "key_"), F.col("key") == F.col("key_")).where(F.array_min("mins") < F.col("doc_id"))
-    hits = hits.groupBy(F.col("doc_id").alias("d_"), F.col("th").alias("t_")).agg(F.collect_list(F.struct("start", "n", "mins")).alias("hits"))
-    cut = some.select("doc_id", "th", "text").join(hits, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_"))).select("doc_id", "th", "text", "hits")
-    cut = cut.mapInArrow(keeper(window, texts), "d_ long, t_ long, n_removed long, kept_sha string, kept_text string")
-    return found.drop("ms"), cut
+    with Scratch(docs.sparkSession) as scratch:
+        scanned = scratch(base.mapInArrow(scan(window, minimiser), "doc_id long, th long, n_words long, sha string, ms array<long>"), "scanned")
+        found = materialize(scanned.drop("ms"), "documents")
+        each = scanned.where("doc_id is not null").select("doc_id", "th", F.explode("ms").alias("m"))
+        shared = scratch(each.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select(F.col("m").alias("m_")), "shared")
+        of_doc = scratch(each.join(shared, F.col("m") == F.col("m_")).groupBy(F.col("doc_id").alias("d_"), F.col("th").alias("t_")).agg(F.collect_set("m").alias("shared")), "of_doc")
+        # Rows equal in doc_id and text are one before they are shuffled.
+        once = base.where("doc_id is not null").groupBy("doc_id", "th").agg(F.first("text").alias("text"))
+        some = scratch(once.join(of_doc, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_"))).select("doc_id", "th", "text", "shared"), "candidates")
+        occ = scratch(some.mapInArrow(packer(window, minimiser), "key binary, m long, packed binary, doc_id long, th long, start int, n int"), "superkmers")
+        kinds = scratch(occ.groupBy("key", "m", "packed").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "kinds")
+        heavy = scratch(kinds.groupBy("m").agg(F.sum("n").alias("n")).where(F.col("n") > HEAVY).select(F.col("m").alias("m_")), "heavy")
+        on = F.col("m") == F.col("m_")
+        light = kinds.join(heavy, on, "left_anti").repartition(parts_for(docs.sparkSession), "m").sortWithinPartitions("m")
+        mins = light.mapInArrow(bucket_counter(window), "key binary, mins array<long>")
+        if not heavy.isEmpty():
+            single = scratch(kinds.join(heavy, on, "left_semi").mapInArrow(unpacker(window), "window binary, first long, key binary, i int"), "windows")
+            least = scratch(single.groupBy("window").agg(F.min("first").alias("least")).withColumnRenamed("window", "w_"), "least")
+            again = single.join(least, F.col("window") == F.col("w_")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "least"))).alias("x"))
+            mins = mins.unionAll(again.select("key", F.col("x.least").alias("mins")))
+        mins = scratch(mins.withColumnRenamed("key", "key_"), "mins")
+        hits = occ.select("key", "doc_id", "th", "start", "n").join(mins, F.col("key") == F.col("key_")).where(F.array_min("mins") < F.col("doc_id"))
+        hits = hits.groupBy(F.col("doc_id").alias("d_"), F.col("th").alias("t_")).agg(F.collect_list(F.struct("start", "n", "mins")).alias("hits"))
+        cut = some.select("doc_id", "th", "text").join(hits, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_"))).select("doc_id", "th", "text", "hits")
+        cut = materialize(cut.mapInArrow(keeper(window, texts), "d_ long, t_ long, n_removed long, kept_sha string, kept_text string"), "cut")
+    return found, cut
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
@@ -210,7 +214,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) ->
     A first scan finds each document's minimisers (hashes alone are shuffled). Documents that share
     one with another are scanned again, and their super-k-mers with such a minimiser travel as
     packed strings, equal ones as one with the least document. Each bucket's windows are then sorted
-    and compared word for word. A bucket of more than HEAVY different strings goes by single windows,
+    and compared word for word. A bucket of more than HEAVY windows goes by single windows,
     aggregated before and after the shuffle, so that no task holds it."""
     found, cut = passages(docs, window, minimiser, False)
     out = found.join(cut, (F.col("doc_id") == F.col("d_")) & (F.col("th") == F.col("t_")), "left")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import new_place
+from .common import new_place, parts_for, settings
 
 #: Payloads under this many bytes are never revisited.
 LEAST_BYTES = 100
@@ -45,17 +47,18 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return packer.compress("\r\n".join(head).encode() + CRLF * 2 + block + CRLF * 2) + packer.flush()
 
 
-def members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
-    """The gzip members of an archive, each inflated step by step."""
-    at, view = 0, memoryview(data)
-    while at < len(data):
+def members(stream: BinaryIO, step: int = 1 << 16) -> Iterator[bytes]:
+    """The gzip members of an archive, read and inflated step by step."""
+    rest = stream.read(step)
+    while rest:
         inflate, parts = zlib.decompressobj(31), []
         while not inflate.eof:
-            if at >= len(data):
+            if not rest:
                 raise ValueError("the archive ends within a gzip member")
-            parts.append(inflate.decompress(view[at : at + step]))
-            at += min(step, len(data) - at) - len(inflate.unused_data)
+            parts.append(inflate.decompress(rest))
+            rest = inflate.unused_data if inflate.eof else stream.read(step)
         yield b"".join(parts)
+        rest = rest or stream.read(step)
 
 
 def parse_record(member: bytes) -> tuple:
@@ -117,38 +120,62 @@ def write_warc(pages: DataFrame, place: str, archive_bytes: int = ARCHIVE_BYTES)
             done.append((f"{stem}-{made:05d}.warc.gz", n))
         yield pa.RecordBatch.from_arrays([pa.array([x.rsplit("/", 1)[1] for x, _ in done], pa.string()), pa.array([k for _, k in done], pa.int64())], ["name", "records"])
 
-    planned(pages).mapInArrow(write, "name string, records long").write.parquet(f"{place}/manifest")
+    with settings(spark):
+        planned(pages).mapInArrow(write, "name string, records long").write.parquet(f"{place}/manifest")
     return spark.read.schema("name string, records long").parquet(f"{place}/manifest").select(F.concat(F.lit(f"{folder}/"), "name").alias("path"), "records")
 
 
-def read_warc(spark: SparkSession, paths: list[str], payloads: bool = True) -> DataFrame:
-    """A row of READ for every record of the archives at paths (file names only, never records, pass
-    through the driver), in any store that Spark reads. A broken frame or digest fails the job.
-    Without payloads that column is null, and nothing but headers leaves the reader."""
-    if not paths:
-        return spark.createDataFrame([], READ)
+SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+#: Rows, and bytes of payload, that the reader gives back at once.
+MOST_ROWS, MOST_BYTES = 500, 4 << 20
+
+
+def parsed(stream: BinaryIO, payloads: bool) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple] = []
+    held = 0
+    for member in members(stream):
+        row = parse_record(member)
+        rows.append(row if payloads else (*row[:-1], None))
+        held += len(rows[-1][-1] or b"")
+        if len(rows) >= MOST_ROWS or held >= MOST_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SCHEMA, strict=True)], schema=SCHEMA)
+            rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SCHEMA, strict=True)], schema=SCHEMA)
+
+
+def read_warc(archives: DataFrame, payloads: bool = True) -> DataFrame:
+    """A row of READ for every record of the archives (path, as write_warc() lists them); executors
+    open the archives themselves, so neither names nor records pass through the driver. A broken frame
+    or digest fails the job. Without payloads that column is null, and only headers leave the reader."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch.column(0):
+                store, name = fs.FileSystem.from_uri(path.as_py())
+                with store.open_input_stream(name, compression=None) as stream:
+                    yield from parsed(stream, payloads)
+
+    return archives.select("path").repartition(parts_for(archives.sparkSession), "path").mapInArrow(read, READ)
+
+
+def read_folder(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """read_warc() of all *.warc.gz under a folder in any store that Spark reads: Spark opens the
+    archives, and each is held as a whole while it is read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
         for batch in batches:
             for data in batch.column(0):
-                rows: list[tuple] = []
-                for member in members(data.as_py()):
-                    row = parse_record(member)
-                    rows.append(row if payloads else (*row[:-1], None))
-                    if len(rows) == 500:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                yield from parsed(io.BytesIO(data.as_py()), payloads)
 
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(read, READ)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.warc.gz").load(folder).select("content").mapInArrow(read, READ)
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:
     """Archive pages, read the archives back, and return what the reader found, a row a page. An
     empty table makes no archive and gives no rows; columns other than page_id, url and html are
     not looked at."""
-    spark = pages.sparkSession
-    listed = write_warc(pages, new_place(spark, "warc"))
-    return read_warc(spark, [r.path for r in listed.select("path").collect()], payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    listed = write_warc(pages, new_place(pages.sparkSession, "warc"))
+    return read_warc(listed, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import io
 import itertools
 import math
 import random
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkforge.llm import bpe, embedding_dedup, mixing, quality, sharding, topk, toxicity, warc
-from linkforge.llm.common import new_place
+from linkforge.llm.common import Scratch, new_place
 from linkforge.llm.components import components
 from linkforge.llm.queries import default_tokenizer
 
@@ -38,7 +39,7 @@ def docs(spark):
 
 def test_components(spark):
     rng = random.Random(1)
-    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5), (None, 3)]
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(120)] + [(5, 5), (None, 3)]
     up = {}
 
     def find(x):
@@ -50,9 +51,9 @@ def test_components(spark):
         if a is not None and a != b:
             a, b = find(a), find(b)
             up[max(a, b)] = min(a, b)
-    got = dict(rows_of(components(spark.createDataFrame(links, "a long, b long"))))
+    got = dict(rows_of(components(spark.createDataFrame(links, "a long, b long"), Scratch(spark))))
     assert got == {x: find(x) for x in up}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark)).count() == 0
 
 
 def test_sharding(spark, docs):
@@ -153,35 +154,35 @@ def test_warc(spark):
     assert warc.warc_round_trip(df.limit(0)).count() == 0
     place = new_place(spark, "warc")
     listed = warc.write_warc(df, place, archive_bytes=200)
-    back = warc.read_warc(spark, [r.path for r in listed.collect()])
+    back = warc.read_warc(listed)
     assert {r.payload.decode() for r in back.where("record_type = 'response'").collect()} == {p[2] or "" for p in pages}
     good = warc.record_bytes(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None)
-    assert warc.parse_record(next(warc.members(good + good)))[6] == b"payload" and len(list(warc.members(good + good, step=7))) == 2
+    assert warc.parse_record(next(warc.members(io.BytesIO(good + good))))[6] == b"payload" and len(list(warc.members(io.BytesIO(good + good), step=7))) == 2
     with pytest.raises(ValueError):
-        warc.parse_record(next(warc.members(warc.record_bytes(1, "u", b"payload", "0" * 64, None))))
+        warc.parse_record(next(warc.members(io.BytesIO(warc.record_bytes(1, "u", b"payload", "0" * 64, None)))))
     with pytest.raises(ValueError):
-        list(warc.members(good[:-4]))
+        list(warc.members(io.BytesIO(good[:-4])))
 
 
 def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(5)
     vectors = [(int(i), [float(x) for x in rng.integers(-3, 4, 4) / 8]) for i in range(150)]
-    vectors += [(150, None), (151, [1.0, None, 0.0, 0.0]), (152, [math.nan, 0.0, 0.0, 0.0]), (None, [9.0] * 4), (200, [0.1, 0.2]), (201, [0.3, 0.4]), (50, [9.0] * 4), (250, [1e15, 1.0, 0.0, 0.0])]
+    vectors += [(150, None), (151, [1.0, None, 0.0, 0.0]), (152, [math.nan, 0.0, 0.0, 0.0]), (None, [9.0] * 4), (200, [0.1, 0.2]), (201, [0.3, 0.4]), (50, [9.0] * 4), (50, vectors[50][1])]
+    vectors += [(400, [8e6, 0.0, 0.0]), (401, [8e6, 0.0, 0.0]), (402, [9e6, 0.0, 0.0]), (403, [-9e6, 0.0, 0.0])]
     df = spark.createDataFrame([(*v, 1, 2.0) for v in vectors], "vec_id long, embedding array<double>, rank int, score double").repartition(4)
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    asked = {}
-    for i, v in vectors:
-        if (i, v) and i is not None and i % 50 == 0 and v and None not in v:
-            asked[i] = min(asked.get(i, v), v)
     want = []
-    for i, v in asked.items():
-        q = [math.floor(256 * x) for x in v]
-        cand = sorted((-max(-(1 << 61), min(1 << 61, sum(a * b for a, b in zip(q, c)))), j) for j, c in good if j != i and len(c) == len(q))
-        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(cand[:5])]
+    for at, (i, q) in enumerate(good):
+        if i % 50 == 0:
+            cand = sorted((-sum(a * b for a, b in zip(q, c)), j) for n, (j, c) in enumerate(good) if n != at and len(c) == len(q))
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(cand[:5])]
+    assert (400, 1, 402, 256 * 256 * 72 * 10**12) in want
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
-    got = rows_of(topk.top_k(df, df.where("vec_id % 50 = 0")))
-    assert sorted(got) == sorted(want)
-    assert topk.top_k(df.limit(0), df).count() == 0 and topk.top_k(df, df.limit(0)).count() == 0
+    asked = F.col("vec_id") % 50 == 0
+    assert sorted(rows_of(topk.top_k(df, asked))) == sorted(want)
+    assert topk.top_k(df.limit(0), asked).count() == 0 and topk.top_k(df, F.lit(None).cast("boolean")).count() == 0
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e8]), (1, [1e8])], "vec_id long, embedding array<double>"), asked)
 
 
 def test_embedding_dedup(spark, monkeypatch):
