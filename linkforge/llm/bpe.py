@@ -231,9 +231,9 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     return _over(tokens, tokenizer, make, "doc_id long, text string", "ids")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode and decode in one pass, digests of the
-    ids (decimal, joined by commas) and of the decoded text (UTF-8), without shipping either."""
+    ids (decimal, joined by commas) and of the decoded text (UTF-8); with ids also the ids."""
 
     def make(batches: Iterator[pa.RecordBatch], tokenizer_json: str) -> Iterator[pa.RecordBatch]:
         encoder, decoder = ChunkEncoder(tokenizer_json), Decoder(tokenizer_json)
@@ -241,11 +241,12 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for batch in batches:
             for rows, data, bounds in pieces(batch, "text"):
-                out = []
-                for ids in encoder.encode(data, bounds):
-                    ids = ids.tolist()
-                    out.append((len(ids), sha(",".join(map(decimal.__getitem__, ids))), sha(decoder.decode(ids))))
+                made, out = encoder.encode(data, bounds), []
+                for x in made:
+                    x = x.tolist()
+                    out.append((len(x), sha(",".join(map(decimal.__getitem__, x))), sha(decoder.decode(x))))
                 n, a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                more = [pa.ListArray.from_arrays(np.cumsum([0, *n]).astype(np.int32), pa.array(np.concatenate(made).astype(np.int32)))] if ids else []
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), *more], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])])
 
-    return _over(docs, tokenizer, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "text")
+    return _over(docs, tokenizer, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids, "text")

@@ -381,7 +381,8 @@ class Join:
     def open(self, entries: DataFrame) -> DataFrame:
         """Entries with root, in buckets that hold different components, with the bucket's cost: how
         many of other components a member meets, on average."""
-        rows = self.scratch(self.rooted(entries.where(~is_poor())), "rooted")
+        rows = self.rooted(entries.where(~is_poor()))
+        rows = rows if self.roots is None else self.scratch(rows, "rooted")
         sizes = rows.groupBy("sig", "root").agg(F.count("*").alias("c")).groupBy(F.col("sig").alias("sig_")).agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("parts"))
         sizes = sizes.where("parts > 1").select("sig_", ((F.col("c") * F.col("c") - F.col("q")) / (2 * F.col("c"))).alias("cost"))
         return self.scratch(rows.join(sizes, F.col("sig") == F.col("sig_")).drop("sig_"), "open")

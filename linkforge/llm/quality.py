@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch
 from .hashing import Words, lowered, pieces
 from .linear import fit, flat, score, sigmoid
 from .toxicity import held_out
@@ -18,7 +19,7 @@ from .toxicity import held_out
 #: Rows, at most about, that the classifiers are learnt from, labelled and not.
 LABELLED, UNLABELLED = 6_000, 6_000
 #: Buckets of hashed words, and of hashed languages and sources.
-WORD_BUCKETS, META_BUCKETS = 512, 24
+WORD_BUCKETS, META_BUCKETS = 512, 96
 #: Rounds, and the share of the unlabelled rows, of either class, that a view hands over in each.
 ROUNDS, SHARE = 5, 0.05
 
@@ -46,15 +47,14 @@ def text_view(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def meta_view(langs: list, sources: list, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Language and source, hashed, and the page's measures: length and lines."""
-    n = len(bounds) - 1
-    out = np.zeros((n, META_BUCKETS + 5))
-    for i, (lang, source) in enumerate(zip(langs, sources, strict=True)):
-        out[i, zlib.crc32(f"lang {lang}".encode()) % 8] += 1
-        out[i, 8 + zlib.crc32(f"source {source}".encode()) % (META_BUCKETS - 8)] += 1
-    chars, lines = np.diff(bounds), np.diff(np.r_[0, np.cumsum(data == 10)][bounds]) + 1
-    out[:, META_BUCKETS:] = np.stack([np.log1p(chars) / 10, np.log1p(lines) / 5, np.log1p(chars / lines) / 5, chars < 200, lines == 1], 1)
+def meta_view(langs: list, sources: list, sizes: list) -> np.ndarray:
+    """Language and source, hashed, alone and together, and the recorded size: nothing of the text."""
+    out = np.zeros((len(langs), META_BUCKETS + 4))
+    for i, (lang, source, size) in enumerate(zip(langs, sources, sizes, strict=True)):
+        for kind, value in (("lang", lang), ("source", source), ("both", (lang, source))):
+            out[i, zlib.crc32(f"{kind} {value}".encode()) % META_BUCKETS] += 1
+        n = max(0, size or 0)
+        out[i, META_BUCKETS:] = size is None, math.log1p(n) / 10, n < 200, n > 20_000
     return out
 
 
@@ -64,7 +64,7 @@ def viewer():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, bounds in pieces(batch, "text"):
-                both = np.c_[text_view(data, bounds), meta_view(rows.column(2).to_pylist(), rows.column(3).to_pylist(), data, bounds)].astype(np.float32)
+                both = np.c_[text_view(data, bounds), meta_view(*(rows.column(i).to_pylist() for i in (2, 3, 4)))].astype(np.float32)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(np.arange(len(both) + 1, dtype=np.int32) * both.shape[1], pa.array(both.ravel()))], ["label", "x"])
 
     return run
@@ -80,7 +80,7 @@ def co_train(x: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) -> tupl
     sets = [(x[v][train], y[train].astype(float), np.ones(train.sum())) for v in (0, 1)]
     weights = [fit(*s) for s in sets]
     free = [np.ones(len(pool[0]), bool) for _ in (0, 1)]
-    for _ in range(ROUNDS if len(pool[0]) and 0 < y[train].mean() < 1 else 0):
+    for _ in range(ROUNDS if len(pool[0]) and len(set(y[train].tolist())) == 2 else 0):
         given = []
         for v in (0, 1):
             p = sigmoid(score(pool[v], weights[v]))
@@ -104,7 +104,7 @@ def grader(weights: list, combined: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, bounds in pieces(batch, "text"):
-                views = text_view(data, bounds), meta_view(rows.column(2).to_pylist(), rows.column(3).to_pylist(), data, bounds)
+                views = text_view(data, bounds), meta_view(*(rows.column(i).to_pylist() for i in (2, 3, 4)))
                 z = np.stack([np.clip(score(v, w), -20, 20) for v, w in zip(views, weights, strict=True)], 1)
                 yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(sigmoid(z[:, i])) for i in (0, 1)), pa.array(sigmoid(score(z, combined)))], ["doc_id", "text_score", "meta_score", "score"])
 
@@ -113,26 +113,29 @@ def grader(weights: list, combined: np.ndarray):
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, text_score, meta_score, score, predicted, kept for every row of docs (doc_id,
-    text, lang, source); labels has doc_id and quality (0, 1 or null; of several the highest counts).
+    text, lang, source, and n_chars if there is one); labels has doc_id and quality (0, 1 or null; of
+    several the highest counts).
 
-    One classifier sees the text, one the page's language, source, length and lines. Over rounds each
+    One classifier sees the text, one what is recorded about it: language, source, size. Over rounds each
     labels for the other the unlabelled rows it is surest of; both are then calibrated and combined
     on labelled rows that neither has seen, and every whole text is scored, without a shuffle. Rows
     whose crc32(doc_id as text) mod 3 is 1 are held out. At most about LABELLED and UNLABELLED rows
     are learnt from. Null and empty texts, null language and source have values of their own; rows
     with null doc_id are scored and not held out; without labels all scores are 1/2 and all is kept;
     an empty table gives no rows; other columns are not looked at."""
-    gold = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("l_")).agg(F.max("quality").alias("label"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
+    known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("l_")).agg(F.max("quality").alias("label"))
+    size = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source", size.alias("n_chars"))
     open_ = own.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    n_gold, n = gold.count(), open_.count()
+    n_gold, n = known.count(), open_.count()
     chance = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 30)) / float(1 << 30)
-    gold = gold.where(chance("l_") < LABELLED / max(1, n_gold * 2 / 3))
-    labelled = open_.join(gold, F.col("doc_id") == F.col("l_")).select("label", "text", "lang", "source")
-    others = open_.where(chance("doc_id") >= 0.5).where((chance("doc_id") - 0.5) * 2 < UNLABELLED / max(1, n / 2)).select(F.lit(-1).alias("label"), "text", "lang", "source")
-    rows = materialize(labelled.unionAll(others).mapInArrow(viewer(), "label int, x array<float>"), "views").orderBy("label", F.xxhash64("x")).toArrow()
+    gold = known.where(chance("l_") < LABELLED / max(1, n_gold * 2 / 3))
+    labelled = open_.join(gold, F.col("doc_id") == F.col("l_")).select("label", "text", "lang", "source", "n_chars")
+    others = open_.where(chance("doc_id") < UNLABELLED / max(1, n)).join(known.select("l_"), F.col("doc_id") == F.col("l_"), "left_anti").select(F.lit(-1).alias("label"), "text", "lang", "source", "n_chars")
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch(labelled.unionAll(others).mapInArrow(viewer(), "label int, x array<float>"), "views").orderBy("label", F.xxhash64("x")).toArrow()
     width = WORD_BUCKETS + 9
-    x = flat(rows.column("x")).reshape(rows.num_rows, width + META_BUCKETS + 5)
+    x = flat(rows.column("x")).reshape(rows.num_rows, width + META_BUCKETS + 4)
     y = rows.column("label").to_numpy()
     know = y >= 0
     views = [x[:, :width], x[:, width:]]

@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch, settings
+from .hashing import Words, lowered, mix, pieces
 from .linear import fit, flat, score, sigmoid
 
 #: Rows, at most about, that voters, label model and classifier are learnt from.
@@ -28,8 +30,22 @@ LEXICON = {
     "de": "idiot* dummkopf* arschloch* scheiß* schlampe* hurensohn* trottel* abschaum* wichser* vollidiot* missgeburt*",
     "es": "idiota* imbécil* estúpid* cabrón* gilipollas mierda* puta* pendej* basura* escoria* asqueros*",
 }
-#: Patterns as (name, what it looks at, the value from which it votes).
-PATTERNS = (("shouting", "upper", 0.6), ("exclamations", "marks", 0.02))
+#: Shares of characters from which a text looks like shouting: capitals A-Z, and !.
+SHARES = (0.6, 0.02)
+#: Patterns that vote for a text in which they occur at all.
+PATTERNS = {
+    "masked word": r"\w[*@#$%]{2,}\w*",
+    "stretched letters": r"([^\W\d_])\1{3}",
+    "heaped marks": r"[!?]{3}",
+    "capitals in a row": r"(?:\b[A-Z]{4,}\b\W+){3}",
+    "digits for letters": r"\b[a-z]+[013457]+[a-z]+\b",
+    "curse": r"(?i)\b(?:go to hell|shut up|get lost|drop dead|va te faire|ta gueule|halt die klappe|halt's maul|vete al diablo|cállate)\b",
+    "threat": r"(?i)\b(?:kill|hurt|destroy|hate|despise) (?:you|them|him|her|yourself)\b|\bje te (?:hais|déteste)\b|\bich hasse dich\b|\bte odio\b",
+    "address": r"(?i)\b(?:you|you're|you are|tu es|espèce de|du bist|eres) (?:an? |un |une |ein |eine )?(?:idiot|moron|stupid|loser|trash|imbécile|connard|trottel|estúpid|imbécil)",
+}
+#: Buckets of hashed words and beginnings of words, how many of them the classifier looks at, and the
+#: texts that one of these must be in.
+TEXT_BITS, TEXT_COLUMNS, LEAST_TEXTS = 18, 400, 8
 
 
 def held_out(doc_id: Column) -> Column:
@@ -90,18 +106,54 @@ class Voters:
         return out
 
 
-def features(seen: np.ndarray) -> np.ndarray:
-    """Which terms occur; whether any does, how many kinds and how often; the patterns."""
+def pattern_votes(text: str) -> list[bool]:
+    return [bool(re.search(x, text)) for x in PATTERNS.values()]
+
+
+def text_columns(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, bucket) of the distinct words of each text, A-Z lower-cased, and of the first four bytes
+    of longer words, hashed; ordered by text."""
+    words = Words(lowered(data), bounds)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(words.first))
+    long = np.flatnonzero(words.end - words.start > 4)
+    begins = np.zeros(len(long), np.uint64)
+    for i in range(4):
+        begins = begins << np.uint64(8) | words.data[words.start[long] + i]
+    hashed = np.r_[words.hashes(), mix(begins + np.uint64(1))] >> np.uint64(64 - TEXT_BITS)
+    key = np.unique((np.r_[owner, owner[long]] << TEXT_BITS) + hashed.astype(np.int64))
+    return key >> TEXT_BITS, key & ((1 << TEXT_BITS) - 1)
+
+
+def telling(text: np.ndarray, column: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The buckets whose presence tells most of the posterior labels, in information, sorted."""
+    n, all_ = len(p), np.bincount(column, minlength=1 << TEXT_BITS).astype(float)
+    some = np.flatnonzero(all_ >= LEAST_TEXTS)
+    if not len(some) or not n:
+        return np.zeros(0, np.int64)
+    both, total = np.bincount(column, p[text], 1 << TEXT_BITS)[some], all_[some]
+    share = lambda a, b: np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / np.maximum(b, 1e-12)), 0.0)
+    yes, rest = p.sum(), n - total
+    gain = share(both, total * yes / n) + share(total - both, total * (n - yes) / n) + share(yes - both, rest * yes / n) + share(np.maximum(rest - yes + both, 0), rest * (n - yes) / n)
+    return np.sort(some[np.lexsort((some, -gain))[:TEXT_COLUMNS]])
+
+
+def features(seen: np.ndarray, text: np.ndarray, column: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """What the classifier looks at: which terms occur, whether any does, how many kinds and how
+    often, the shares, and which of the chosen buckets the text's own words fall into."""
     hits = seen[:, :-2]
     kinds = (hits > 0).sum(1)
-    return np.c_[hits > 0, kinds > 0, np.log1p(kinds), np.log1p(hits.sum(1)), seen[:, -2:]].astype(np.float64)
+    own = np.zeros((len(seen), len(chosen)))
+    if len(chosen):
+        at = np.minimum(np.searchsorted(chosen, column), len(chosen) - 1)
+        known = chosen[at] == column
+        own[text[known], at[known]] = 0.5
+    return np.c_[hits > 0, kinds > 0, np.log1p(kinds), np.log1p(hits.sum(1)), seen[:, -2:], own].astype(np.float64)
 
 
-def votes(seen: np.ndarray) -> np.ndarray:
+def votes(seen: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     """1: toxic, 0: abstains, -1: clean; the last voter says clean where no term occurs."""
     hits = seen[:, :-2] > 0
-    caps = np.stack([seen[:, -2 + i] >= least for i, (_, _, least) in enumerate(PATTERNS)], 1)
-    return np.c_[hits, caps, -(~hits.any(1)).astype(int)].astype(int)
+    return np.c_[hits, seen[:, -2:] >= SHARES, patterns, -(~hits.any(1)).astype(int)].astype(int)
 
 
 def label_model(v: np.ndarray, gold: np.ndarray, rounds: int = 25) -> np.ndarray:
@@ -152,45 +204,62 @@ def mine(labelled: DataFrame) -> list[str]:
 
 
 def seer(terms: list[str]):
+    """(gold, hits and shares, pattern votes, buckets) of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(terms)
         for batch in batches:
-            seen = [voters.see(t or "").tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seen, pa.list_(pa.float64()))], ["gold", "seen"])
+            for rows, data, bounds in pieces(batch, "text"):
+                texts = rows.column(1).to_pylist()
+                text, column = text_columns(data, bounds)
+                buckets = pa.ListArray.from_arrays(np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32), pa.array(column.astype(np.int32)))
+                seen, patterns = [voters.see(t or "").tolist() for t in texts], [pattern_votes(t or "") for t in texts]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(seen, pa.list_(pa.float64())), pa.array(patterns, pa.list_(pa.bool_())), buckets], ["gold", "seen", "patterns", "buckets"])
 
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(terms, weights of the classifier), from at most about LABELLED labelled and UNLABELLED other
-    rows outside the held-out third."""
-    gold = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("l_")).agg(F.max("toxic").alias("toxic"))
+class Model(NamedTuple):
+    terms: list[str]
+    chosen: np.ndarray
+    weights: np.ndarray
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The voters' terms, the chosen buckets and the classifier's weights, from at most about
+    LABELLED labelled and UNLABELLED unlabelled rows outside the held-out third."""
+    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("l_")).agg(F.max("toxic").alias("toxic"))
     own = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    n_gold, n = gold.count(), own.count()
-    gold = gold.where(F.pmod(F.xxhash64("l_"), F.lit(1 << 30)) / float(1 << 30) < LABELLED / max(1, n_gold * 2 / 3))
-    labelled = materialize(own.join(gold, F.col("doc_id") == F.col("l_")).select("text", "toxic").dropDuplicates(), "labelled")
-    others = own.where(chance >= 0.5).where((chance - 0.5) * 2 < UNLABELLED / max(1, n / 2)).select("text", F.lit(-1).alias("toxic"))
-    terms = list(dict.fromkeys([*mine(labelled), *(t for words in LEXICON.values() for t in words.split())]))
-    rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, seen array<double>").toArrow()
-    seen = flat(rows.column("seen")).reshape(rows.num_rows, len(terms) + 2)
-    labels_ = rows.column("gold").to_numpy()
-    p = label_model(votes(seen), labels_)
-    return terms, fit(features(seen), p, l2=0.02)
-
-
-def scorer(terms: list[str], weights: np.ndarray):
+    chance = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 30)) / float(1 << 30)
+    n_gold, n = known.count(), own.count()
+    with Scratch(docs.sparkSession) as scratch, settings(docs.sparkSession):
+        gold = known.where(chance("l_") < LABELLED / max(1, n_gold * 2 / 3))
+        labelled = scratch(own.join(gold, F.col("doc_id") == F.col("l_")).select("text", "toxic").dropDuplicates(), "labelled")
+        others = own.where(chance("doc_id") < UNLABELLED / max(1, n)).join(known.select("l_"), F.col("doc_id") == F.col("l_"), "left_anti").select("text", F.lit(-1).alias("toxic"))
+        terms = list(dict.fromkeys([*mine(labelled), *(t for words in LEXICON.values() for t in words.split())]))
+        rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, seen array<double>, patterns array<boolean>, buckets array<int>").toArrow()
+    seen, patterns = flat(rows.column("seen")).reshape(rows.num_rows, len(terms) + 2), flat(rows.column("patterns")).reshape(rows.num_rows, len(PATTERNS))
+    text = np.repeat(np.arange(rows.num_rows), [len(x) for x in rows.column("buckets")])
+    column = flat(rows.column("buckets")).astype(np.int64)
+    p = label_model(votes(seen, patterns.astype(bool)), rows.column("gold").to_numpy())
+    chosen = telling(text, column, p)
+    return Model(terms, chosen, fit(features(seen, text, column, chosen), p, l2=0.02))
+
+
+def scorer(model: Model):
     """The first column with the score of the text, which is the second column or, where that is a
     struct, its field text; the struct goes along, so that a text is sent once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = Voters(terms)
+        voters = Voters(model.terms)
         for batch in batches:
-            own = batch.column(1)
-            packed = pa.types.is_struct(own.type)
-            texts = own.field("text") if packed else own
-            seen = np.array([voters.see(t.as_py() or "") for t in texts]).reshape(len(texts), len(terms) + 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(score(features(seen), weights))), *([own] if packed else [])], ["doc_id", "score", *(["row_"] if packed else [])])
+            packed = pa.types.is_struct(batch.column(1).type)
+            texts = batch.column(1).field("text") if packed else batch.column(1)
+            scores = [np.zeros(0)]
+            for rows, data, bounds in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+                seen = np.array([voters.see(t.as_py() or "") for t in rows.column(0)]).reshape(rows.num_rows, len(model.terms) + 2)
+                scores.append(sigmoid(score(features(seen, *text_columns(data, bounds), model.chosen), model.weights)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores)), *([batch.column(1)] if packed else [])], ["doc_id", "score", *(["row_"] if packed else [])])
 
     return run
 
@@ -200,21 +269,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     toxic (0, 1 or null; of several labels of one doc_id the highest counts).
 
     Voters are a small lexicon, patterns, and terms mined from labelled rows; the label model weighs
-    them by what it estimates of their accuracies and correlations; a linear classifier learns its
-    posterior labels and scores every whole text, one by one, without a shuffle. Rows whose
+    them by what it estimates of their accuracies and correlations (rows with a label keep it). A
+    linear classifier learns the posterior labels from the terms and from the text's own hashed words
+    and beginnings of words, those that tell most of the posteriors, and scores every whole text, one
+    by one, without a shuffle. Rows whose
     crc32(doc_id as text) mod 3 is 1 are held out: neither their labels nor their texts are learnt
     from. Null and empty texts are scored as texts without hits; rows with null doc_id are scored and
     not held out; without labels the lexicon alone decides; an empty table gives no rows; other
     columns are not looked at."""
-    terms, weights = learn(docs, labels)
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scorer(terms, weights), "doc_id long, score double")
+    model = learn(docs, labels)
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scorer(model), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all their columns, that toxicity() doesn't reject; scored in place, so rows
     that repeat a doc_id are judged by their own texts."""
-    terms, weights = learn(docs, labels)
+    model = learn(docs, labels)
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("row_"))
-    kept = packed.mapInArrow(scorer(terms, weights), f"doc_id long, score double, row_ {packed.schema['row_'].dataType.simpleString()}").where(F.col("score") < threshold)
+    kept = packed.mapInArrow(scorer(model), f"doc_id long, score double, row_ {packed.schema['row_'].dataType.simpleString()}").where(F.col("score") < threshold)
     return kept.select(*[F.col("row_")[c].alias(c) for c in docs.columns])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from linkforge.llm import bpe, embedding_dedup, mixing, quality, sharding, topk, toxicity, warc
 from linkforge.llm.common import Scratch, new_place
+from linkforge.llm import components as components_module
 from linkforge.llm.components import components
 from linkforge.llm.queries import default_tokenizer
 
@@ -37,7 +38,9 @@ def docs(spark):
     return spark.createDataFrame([(*r, 0, 7, "x", "y") for r in rows], DOCS).repartition(3).cache()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(components_module, "SMALL", small)
     rng = random.Random(1)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(120)] + [(5, 5), (None, 3)]
     up = {}
@@ -260,6 +263,75 @@ def test_label_model_finds_accuracies():
     assert ((p > 0.5) == y)[200:].mean() > 0.88
 
 
+def test_label_model_by_hand():
+    """The same EM, written as loops over rows, voters and states."""
+    rng = np.random.default_rng(4)
+    v = rng.integers(-1, 2, (60, 4))
+    v = np.c_[v, v[:, 0]]
+    gold = np.where(np.arange(60) < 15, rng.integers(0, 2, 60), -1)
+    n, m = v.shape
+    p = [float(gold[i]) if gold[i] >= 0 else (0.7 if max(v[i]) > 0 else 0.1) for i in range(n)]
+    for _ in range(6):
+        q = [[1 - x for x in p], p]
+        prior = [(sum(q[y]) + 1) / (n + 2) for y in (0, 1)]
+        table = {(x, y, j): (sum(q[y][i] for i in range(n) if v[i][j] == x) + 0.1) / (sum(q[y]) + 0.3) for x in (-1, 0, 1) for y in (0, 1) for j in range(m)}
+        mean = [[sum(q[y][i] * v[i][j] for i in range(n)) / sum(q[y]) for j in range(m)] for y in (0, 1)]
+        cov = [[sum(q[y][i] * (v[i][j] - mean[y][j]) * (v[i][k] - mean[y][k]) for y in (0, 1) for i in range(n)) / n for k in range(m)] for j in range(m)]
+        weight = [1 / (1 + sum((cov[j][k] ** 2) / (cov[j][j] * cov[k][k]) for k in range(m) if k != j)) for j in range(m)]
+        z = [math.log(prior[1] / prior[0]) + sum(weight[j] * math.log(table[v[i][j], 1, j] / table[v[i][j], 0, j]) for j in range(m)) for i in range(n)]
+        p = [float(gold[i]) if gold[i] >= 0 else 1 / (1 + math.exp(-z[i])) for i in range(n)]
+    assert np.allclose(toxicity.label_model(v, gold, rounds=6), p, atol=1e-9)
+
+
+def test_classifier_reads_the_text():
+    """Buckets are chosen by what their presence tells of the labels, counted by hand."""
+    texts = ["spork dough", "spork", "dough", "plain dough", "Spork plain", ""] * 4
+    data, bounds = np.frombuffer("".join(texts).encode(), np.uint8), np.r_[0, np.cumsum([len(t) for t in texts])]
+    text, column = toxicity.text_columns(data, bounds)
+    words_of = [{w for x in t.lower().split() for w in (x, x[:4] + "*") if "*" not in w or len(x) > 4} for t in texts]
+    assert np.bincount(text, minlength=len(texts)).tolist() == [len(w) for w in words_of]
+    p = np.array([0.9 if "spork" in t.lower() else 0.2 for t in texts])
+    best = toxicity.telling(text, column, p)
+    spork = set(column[text == 1].tolist())
+    x = toxicity.features(np.zeros((len(texts), 2)), text, column, best)[:, 5:]
+    assert spork <= set(best.tolist()) and len(spork) == 2
+    at = [i for i, c in enumerate(best.tolist()) if c in spork]
+    assert ((x[:, at] > 0).all(1) == np.array(["spork" in t.lower() for t in texts])).all()
+    assert len(toxicity.telling(text[:0], column[:0], p)) == 0
+
+
+def test_co_training_hands_over_the_surest(monkeypatch):
+    """What each view is trained on, round by round, recomputed with sorted lists."""
+    rng = np.random.default_rng(6)
+    truth = rng.integers(0, 2, 400)
+    x = [np.c_[truth + rng.normal(size=400) * s, rng.normal(size=400)] for s in (0.3, 0.5)]
+    know = np.arange(400) < 100
+    trained = []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: trained.append(a) or real(*a, **k))
+    quality.co_train([v[know] for v in x], truth[know], [v[~know] for v in x])
+    start = [i for i in range(100) if i % 5]
+    sets = [[(x[v][i].tolist(), float(truth[i]), 1.0) for i in start] for v in (0, 1)]
+    pool, free, at = np.flatnonzero(~know).tolist(), [set(np.flatnonzero(~know).tolist()) for _ in (0, 1)], 2
+    weights = [real(np.array([r[0] for r in s]), np.array([r[1] for r in s]), np.array([r[2] for r in s])) for s in sets]
+    base = sum(truth[i] for i in start) / len(start)
+    k = max(1, int(quality.SHARE * len(pool)))
+    for _ in range(quality.ROUNDS):
+        given = []
+        for v in (0, 1):
+            p = {i: 1 / (1 + math.exp(-(float(x[v][i] @ weights[v][:-1]) + weights[v][-1]))) for i in pool}
+            order = sorted(free[1 - v], key=lambda i: (p[i], i))
+            chosen = [i for i in order[: max(1, int(k * (1 - base)))] if p[i] < 0.1] + [i for i in order[::-1][: max(1, int(k * base))] if p[i] > 0.9]
+            free[1 - v] -= set(chosen)
+            given.append([(i, float(p[i] > 0.5)) for i in chosen])
+        for v in (0, 1):
+            sets[v] += [(x[v][i].tolist(), said, 0.3) for i, said in given[1 - v]]
+            a, y, w = trained[at]
+            assert sorted(zip(a.tolist(), y.tolist(), w.tolist(), strict=True)) == sorted(sets[v])
+            weights[v], at = real(a, y, w), at + 1
+    assert at == len(trained) - 1 and len(sets[0]) > 100
+
+
 def test_quality(spark):
     docs, labels = synthetic(spark, ["%%%", "###", "|||"])
     marks = spark.createDataFrame([(i, 1 - bad) for i, bad in labels], "doc_id long, quality int")
@@ -270,3 +342,6 @@ def test_quality(spark):
     assert sum(right) / len(right) > 0.95
     assert quality.quality(docs.limit(0), marks.limit(0)).count() == 0
     assert all(r.kept for r in quality.quality(docs, marks.limit(0)).collect())
+    assert quality.quality(docs, marks.where("quality = 1")).count() == docs.count()
+    # The size recorded with a document is of the metadata view; its text is not.
+    assert (quality.meta_view(["en"], ["s"], [5]) != quality.meta_view(["en"], ["s"], [50_000])).any() and quality.meta_view([None], [None], [None]).shape == (1, quality.META_BUCKETS + 4)
