@@ -39,12 +39,12 @@ def feature_columns(q: str = "q", t: str = "t") -> dict[str, Column]:
     return dict(zip(FEATURES, values, strict=True))
 
 
-def paired(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """pairs (query_id, target_id, ...) with structs q and t of rows (record_features()). Ids are
-    joined first, records are shuffled once a side; a pair whose target is unknown is dropped (see
+def paired(pairs: DataFrame, rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """pairs (query_id, target_id, ...) with structs q and t of rows (record_features()), or of rows for
+    queries and targets for targets. Ids are joined first, records are shuffled once a side; a pair whose target is unknown is dropped (see
     missing_targets)."""
     q = rows.select(F.col("entity_id").alias("query_id"), F.struct("*").alias("q"))
-    t = rows.select(F.col("entity_id").alias("target_id"), F.struct("*").alias("t"))
+    t = (rows if targets is None else targets).select(F.col("entity_id").alias("target_id"), F.struct("*").alias("t"))
     return pairs.join(q, "query_id").join(t, "target_id")
 
 
@@ -57,10 +57,10 @@ def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     return features_of(pairs, record_features(records))
 
 
-def features_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def features_of(pairs: DataFrame, rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """query_id, target_id, rank (where pairs have it), the twelve features, countries_differ, from
     record features."""
-    joined = paired(pairs, rows)
+    joined = paired(pairs, rows, targets)
     keep = [c for c in ("query_id", "target_id", "rank") if c in pairs.columns]
     differ = ((F.col("q.country") != "") & (F.col("t.country") != "") & (F.col("q.country") != F.col("t.country"))).alias("countries_differ")
     return joined.select(*keep, *[v.alias(k) for k, v in feature_columns().items()], differ)

@@ -61,11 +61,28 @@ def dev_sample(split_rows: DataFrame, per_country: int) -> DataFrame:
     return split_rows.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_country).select("country", "entity_id", "bucket", "rn")
 
 
-def markdown(title: str, rows: DataFrame) -> str:
-    """A small aggregate as a Markdown table."""
-    names = rows.columns
-    lines = [f"## {title}", "", "| " + " | ".join(names) + " |", "|" + " --- |" * len(names)]
-    lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows.orderBy(*names[:2]).collect()]
-    return "\n".join(lines) + "\n"
-
-
+def markdown_table(names: list[str], rows: list[list]) -> list[str]:
+    return ["| " + " | ".join(names) + " |", "|" + " --- |" * len(names), *("| " + " | ".join(map(str, r)) + " |" for r in rows), ""]
+
+
+def profile_report(sources: dict[str, DataFrame], entities: DataFrame, truth: DataFrame, split_rows: DataFrame, seed: str, fraction: float, per_country: int) -> str:
+    """The dataset profile as Markdown: sizes, fields by source and by country, truth, the split. All
+    that is collected has a row a source, country and field, or a number of matches."""
+    counts = {name: {r.country: r.rows for r in country_counts(rows).orderBy("country").collect()} for name, rows in sources.items()}
+    fields = {name: sorted(field_profile(rows).collect(), key=lambda r: (r.country or "", r.field)) for name, rows in sources.items()}
+    share = lambda n, pct: f"{n:,} ({pct:.2f}%)"
+    cells = lambda r: [r.field, share(r.empty, r.empty_pct), f"{r.mean_chars_when_present:.2f}", share(r.non_ascii_rows, r.non_ascii_pct), share(r.contains_digit_rows, r.contains_digit_pct)]
+    columns = ["Field", "Empty", "Mean characters when present", "Non-ASCII rows", "Rows containing digits"]
+    matches = {r.matches: r.entities for r in truth_cardinality(entities, truth).orderBy("matches").collect()}
+    total = sum(matches.values())
+    links = {r.source: r.links for r in truth_sources(truth).orderBy("source").collect()}
+    parts = split_counts(split_rows).orderBy("country").collect()
+    lines = ["# Dataset profile", "", "## Sizes", ""]
+    lines += markdown_table(["Source", "Rows", "Countries"], [[name, f"{sum(c.values()):,}", ", ".join(f"{k or '(blank)'}: {v:,}" for k, v in c.items())] for name, c in counts.items()])
+    lines += ["## Fields by source", "", *markdown_table(["Source", *columns], [[name, *cells(r)] for name, rows in fields.items() for r in rows if r.country is None])]
+    lines += ["## Fields by country", "", *markdown_table(["Source", "Country", *columns], [[name, r.country or "(blank)", *cells(r)] for name, rows in fields.items() for r in rows if r.country is not None])]
+    lines += ["## Truth", "", f"{total:,} entities, of which {matches.get(0, 0):,} ({100 * matches.get(0, 0) / max(1, total):.2f}%) are singletons.", ""]
+    lines += markdown_table(["Matches", "Entities"], [[k, f"{v:,}"] for k, v in matches.items()]) + markdown_table(["Target source", "Links"], [[k, f"{v:,}"] for k, v in links.items()])
+    lines += ["## Split", "", f"Seed `{seed}`, validation fraction {fraction:.0%}; the development sample has the {per_country:,} lowest ids by hash of each country.", ""]
+    lines += markdown_table(["Country", "Rows", "Validation rows", "Fraction"], [[r.country or "(blank)", f"{r.total:,}", f"{r.validation:,}", f"{r.validation / r.total:.2%}"] for r in parts])
+    return "\n".join(lines)
