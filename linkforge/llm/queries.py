@@ -69,6 +69,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_ngram_join, op4_toxicity, op5_warc, op6_topk, op7_sharding, op8_substring_dedup, op9_quality, op10_embedding_dedup)}
 
+
+def _crc(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (byte & 1) * 0xEDB88320
+    return byte
+
+
+#: What CRC-32 does to each byte, for SQL that has no such function.
+CRC_TABLE = "[" + ", ".join(f"{_crc(i)}::BIGINT" for i in range(256)) + "]"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
         WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
@@ -113,6 +123,20 @@ ORACLE_SQL: dict[str, str] = {
                    FROM v q JOIN v c ON q.u <> c.u WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op7_sharding": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, text,
+                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+             r AS MATERIALIZED (SELECT doc_id, size, h, list_reduce(list_prepend(4294967295, list_transform(range(1, size), lambda i: CAST('0x' || substr(hex(encode(text)), 2 * i - 1, 2) AS BIGINT))),
+                   lambda x, y: xor(x // 256, {CRC_TABLE}[xor(x % 256, y) + 1])) AS x FROM d),
+             s AS MATERIALIZED (SELECT doc_id, size, xor(x, 4294967295) AS text_crc32, h FROM r),
+             n AS MATERIALIZED (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a, CAST(ceil(count(*) / ceil(sqrt(count(*)))) AS BIGINT) AS b FROM s),
+             o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY h, doc_id NULLS FIRST, size, text_crc32) - 1 AS row_no FROM s),
+             f AS (SELECT row_no, row_no // b AS l, row_no % b AS r, 0 AS i FROM o, n
+                   UNION ALL
+                   SELECT row_no, CASE WHEN i % 2 = 0 THEN (l + CAST('0x' || substr(md5('7:' || i % 6 || ':' || r), 1, 12) AS BIGINT)) % a ELSE l END,
+                   CASE WHEN i % 2 = 1 THEN (r + CAST('0x' || substr(md5('7:' || i % 6 || ':' || l), 1, 12) AS BIGINT)) % b ELSE r END, i + 1 FROM f, n WHERE i = 0 OR i % 6 <> 0 OR l * b + r >= n.n),
+             p AS (SELECT row_no, l * b + r AS p FROM f, n WHERE i > 0 AND i % 6 = 0 AND l * b + r < n.n)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % 16 AS INTEGER) AS shard, p // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM o JOIN p USING (row_no)""",
     "op8_substring_dedup": """
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
              n AS (SELECT doc_id, ws, unnest(range(1, CAST(len(ws) - 48 AS BIGINT))) AS i FROM w WHERE len(ws) >= 50),

@@ -4,55 +4,50 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch, materialize
 
-ROUNDS = 6
+#: Rounds of the network, and walks along a cycle at most.
+ROUNDS, WALKS = 6, 64
 ROWS_PER_BUCKET = 250_000
 
 
-def feistel(x: np.ndarray, n: int, seed: int) -> np.ndarray:
-    """A permutation of 0 .. n-1, applied to x. A balanced Feistel network permutes the smallest
-    4**k >= n; values that fall outside walk on along their cycle until they are inside."""
-    if n <= 1:
-        return np.zeros_like(x)
-    half = max(1, math.ceil(math.ceil(math.log2(n)) / 2))
-    mask = np.uint64((1 << half) - 1)
-    keys = [np.uint64((seed * 0x9E3779B97F4A7C15 + r * 0xD1B54A32D192ED03 + 1) % (1 << 64)) for r in range(ROUNDS)]
-
-    def once(v: np.ndarray) -> np.ndarray:
-        left, right = v >> np.uint64(half), v & mask
-        for key in keys:
-            z = right + key
-            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            left, right = right, (left ^ z ^ (z >> np.uint64(31))) & mask
-        return (left << np.uint64(half)) | right
-
-    with np.errstate(over="ignore"):
-        y = once(x.astype(np.uint64))
-        while (out := y >= np.uint64(n)).any():
-            y[out] = once(y[out])
-    return y.astype(np.int64)
-
-
-def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
-    """rows with row_no, 0 to n-1 over the whole table, in the order of h and then of all other
-    columns; and n. Rows are numbered within buckets of the hash's leading bits, so no task sorts
-    more than a bucket; the bucket count follows the row count, the numbering doesn't depend on it."""
-    rows = materialize(rows, "numbered")
+def grid_of(n: int) -> tuple[int, int]:
+    """The sides of the smallest near-square grid that holds 0 .. n-1."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    return a, max(1, -(-n // a))
+
+
+def feistel(x: str, n: int, seed: int) -> Column:
+    """A permutation of 0 .. n-1, applied to the column x; built-in functions only. An unbalanced
+    Feistel network permutes the grid of grid_of(n), whose rows and columns are its two halves: each
+    round adds a keyed hash of one half to the other. A value that falls outside walks on along its
+    cycle until it is inside. Outside lie fewer than one row of the grid, so up to n = WALKS ** 2 that
+    many walks always do, and beyond it a longer one is as good as impossible; it would be an error."""
+    a, b = grid_of(n)
+    f = lambda i, v: f"cast(conv(substring(md5(cast(concat('{seed}:', {i}, ':', {v}) as binary)), 1, 12), 16, 10) as bigint)"
+    rounds = ", ".join(map(str, range(ROUNDS)))
+    step = f"if(i % 2 = 0, named_struct('l', (s.l + {f('i', 's.r')}) % {a}L, 'r', s.r), named_struct('l', s.l, 'r', (s.r + {f('i', 's.l')}) % {b}L))"
+    once = lambda v: f"aggregate(array({rounds}), named_struct('l', {v} div {b}L, 'r', {v} % {b}L), (s, i) -> {step}, s -> s.l * {b}L + s.r)"
+    walked = f"aggregate(sequence(1, {WALKS}), {once(x)}, (p, w) -> if(p < {n}L, p, {once('p')}))"
+    return F.expr(f"aggregate(array({walked}), 0L, (z, p) -> if(p < {n}L, p, cast(raise_error('a walk of the permutation did not end') as bigint)))")
+
+
+def numbered(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """rows (h: 0 to 2**60-1) with row_no, 0 to n-1 over the whole table, in the order of h and then of
+    all other columns; and n. Rows are numbered within buckets of the hash's leading bits, so no task
+    sorts more than a bucket; the bucket count follows the row count, the numbering doesn't depend on it."""
+    rows = scratch(rows, "rows")
     n = rows.count()
     bits = max(6, math.ceil(math.log2(max(1, n) / ROWS_PER_BUCKET))) if n else 6
-    rows = rows.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits))
+    rows = rows.withColumn("bucket", F.shiftright("h", 60 - bits))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("bucket").count().select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("bucket").orderBy("h", *[c for c in rows.columns if c not in ("h", "bucket")])
     ranked = rows.withColumn("k", F.row_number().over(within))
-    return ranked.join(starts, "bucket").withColumn("row_no", F.col("start") + F.col("k") - 1).drop("bucket", "k", "start"), n
+    return ranked.join(starts, "bucket").withColumn("row_no", (F.col("start") + F.col("k") - 1).cast("long")).drop("bucket", "k", "start"), n
 
 
 def shard_rows(docs: DataFrame, n_shards: int = 16, seed: int = 7) -> DataFrame:
@@ -62,26 +57,23 @@ def shard_rows(docs: DataFrame, n_shards: int = 16, seed: int = 7) -> DataFrame:
     both follow from the row's number alone: p = feistel(row_no), shard = p mod n_shards,
     slot = p div n_shards. Row numbers follow a hash of doc_id and text, so the result doesn't
     depend on the order or the partitions of the input. Null doc_id and null text are values like
-    any other (size 1, checksum 0); rows equal in both are interchangeable and get different slots;
-    an empty table gives an empty result; other columns are not looked at. Only ids, sizes and
-    checksums are shuffled, never texts."""
+    any other (size 1, checksum 0); rows equal in all that is returned are interchangeable and get
+    different slots; an empty table gives an empty result; other columns are not looked at. Only ids,
+    sizes and checksums are shuffled, never texts, and all of it is built-in functions."""
+    name = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("text", F.lit(""))).cast("binary"))
     rows = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64("doc_id", "text").alias("h"),
+        F.conv(F.substring(name, 1, 15), 16, 10).cast("long").alias("h"),
     )
-    rows, n = numbered(rows)
-
-    @F.pandas_udf("long")
-    def permuted(x: pd.Series) -> pd.Series:
-        return pd.Series(feistel(x.to_numpy(), n, seed))
-
-    p = F.col("p")
-    return rows.withColumn("p", permuted("row_no")).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), (p % n_shards).cast("int").alias("shard"),
-        F.expr(f"p div {n_shards}").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        rows, n = numbered(rows, scratch)
+        p = F.col("p")
+        return materialize(rows.withColumn("p", feistel("row_no", n, seed)).select(
+            "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), (p % n_shards).cast("int").alias("shard"),
+            F.expr(f"p div {n_shards}").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        ), "shards")
 
 
 def write_shards(docs: DataFrame, place: str, n_shards: int = 16, seed: int = 7) -> None:

@@ -60,8 +60,19 @@ def test_components(spark, monkeypatch, small):
 
 
 def test_sharding(spark, docs):
-    for n in (1, 2, 3, 17, 1000):
-        assert sorted(sharding.feistel(np.arange(n), n, 7).tolist()) == list(range(n))
+    for n in (1, 2, 3, 5, 17, 1000, 10_007):
+        moved = {r[0]: r[1] for r in spark.range(n).select("id", sharding.feistel("id", n, 7)).collect()}
+        assert sorted(moved.values()) == list(range(n))
+        a, b = sharding.grid_of(n)
+        assert a * b >= n and (a - 1) * b < n + b
+        for x in random.Random(n).sample(range(n), min(n, 40)):
+            l, r, p = x // b, x % b, n
+            while p >= n:
+                for i in range(sharding.ROUNDS):
+                    told = int(hashlib.md5(f"7:{i}:{l if i % 2 else r}".encode()).hexdigest()[:12], 16)
+                    l, r = (l, (r + told) % b) if i % 2 else ((l + told) % a, r)
+                p = l * b + r
+            assert moved[x] == p
     got = rows_of(sharding.shard_rows(docs, 16))
     assert collections.Counter((r[0], r[1], r[2]) for r in got) == collections.Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect())
     slots = collections.defaultdict(list)
@@ -71,11 +82,16 @@ def test_sharding(spark, docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1 and len(slots) == 16
     assert sorted(got, key=repr) == sorted(rows_of(sharding.shard_rows(docs.repartition(7), 16)), key=repr)
+    order = sorted(((int(hashlib.md5(f"{'' if r.doc_id is None else r.doc_id}|{r.text or ''}".encode()).hexdigest()[:15], 16), -1 if r.doc_id is None else r.doc_id) for r in docs.collect()))
+    moved = {r[0]: r[1] for r in spark.range(len(order)).select("id", sharding.feistel("id", len(order), 7)).collect()}
+    assert collections.Counter((None if i < 0 else i, moved[k] % 16, moved[k] // 16) for k, (_, i) in enumerate(order)) == collections.Counter((r[0], r[4], r[5]) for r in got)
     assert sharding.shard_rows(docs.limit(0)).count() == 0
     place = new_place(spark, "shards")
     sharding.write_shards(docs, place, 4)
     back = spark.read.parquet(place)
     assert back.count() == docs.count() and back.select("shard", "slot").distinct().count() == docs.count()
+    plan = collections.Counter((r[0], r[2], r[4], r[5]) for r in rows_of(sharding.shard_rows(docs, 4)))
+    assert collections.Counter((r.doc_id, zlib.crc32((r.text or "").encode()), r["shard"], r.slot) for r in back.collect()) == plan
 
 
 def test_bpe(spark, docs):
