@@ -82,8 +82,8 @@ CRC_TABLE = "[" + ", ".join(f"{_crc(i)}::BIGINT" for i in range(256)) + "]"
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
         WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
-             d AS (SELECT d.doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-                   -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+             d AS (SELECT d.doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size, coalesce(md5(text), '') AS th,
+                   -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || coalesce(md5(text), '')), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
                    / (CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END) AS key
                    FROM documents d LEFT JOIN q ON q.doc_id = d.doc_id),
              s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
@@ -93,7 +93,7 @@ ORACLE_SQL: dict[str, str] = {
              t AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(level, (cap / w, sid)) FROM l WHERE level * w <= cap)) AS target FROM l),
              b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
              p AS (SELECT d.*, source_size, target, epochs, floor(target - epochs * source_size + 0.5)
-                   - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_
+                   - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, size, th ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_
                    FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
         SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(epochs * size + greatest(least(left_, size), 0) AS BIGINT) AS taken FROM p""",
     "op3_ngram_join": """

@@ -153,6 +153,11 @@ def test_mixing(spark, docs):
     assert mixing.mix(sized.limit(0)).count() == 0
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1)], "doc_id long, quality int")
     whole = mixing.mixed(docs, labels)
+    # Many rows of one doc_id, or of none, with texts of their own: each has its own key.
+    many = spark.createDataFrame([(None if i % 2 else 7, f"text {i} " * (i % 9), "s") for i in range(600)], "doc_id long, text string, source string")
+    some = rows_of(mixing.mix(mixing.weighed(many, labels), share=0.5).select("doc_id", "th", "size", "taken", "target"))
+    assert len(some) == 600 and abs(sum(r[3] for r in some) - some[0][4]) <= 1 and len({r[1] for r in some if 0 < r[3] < r[2]}) <= 1
+    assert {r[0] for r in some if r[3]} == {None, 7}
     assert whole.columns == docs.columns and max(r["count"] for r in whole.groupBy("doc_id", "text").count().collect()) <= 4
 
 
