@@ -10,24 +10,46 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1.0, steps: int = 300) -> np.ndarray:
-    """Weights, the last of which is the intercept (not penalised), by Nesterov's gradient steps.
-    y: labels between 0 and 1. Without rows all weights are 0."""
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1.0, steps: int = 80, memory: int = 10) -> np.ndarray:
+    """Weights, the last of which is the intercept (not penalised), by limited-memory quasi-Newton
+    steps. y: labels between 0 and 1. Without rows all weights are 0."""
     n, d = x.shape
-    out = np.zeros(d + 1)
+    w = np.zeros(d + 1)
     if not n:
-        return out
+        return w
     weight = np.ones(n) if weight is None else weight
-    x = np.c_[x, np.ones(n)]
-    top = np.linalg.norm(x * np.sqrt(weight)[:, None], 2) ** 2 / 4 + l2 if n * d else 1.0
     penalty = np.r_[np.full(d, l2), 1e-6]
-    ahead, momentum = out.copy(), 1.0
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = x @ w[:-1] + w[-1]
+        error = weight * (sigmoid(z) - y)
+        loss = float(weight @ (np.logaddexp(0, z) - y * z) + (penalty * w) @ w / 2)
+        return loss, np.r_[x.T @ error, error.sum()] + penalty * w
+
+    loss, gradient = at(w)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(steps):
-        grad = x.T @ (weight * (sigmoid(x @ ahead) - y)) + penalty * ahead
-        new = ahead - grad / top
-        following = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        ahead, out, momentum = new + (momentum - 1) / following * (new - out), new, following
-    return out
+        if np.abs(gradient).max() < 1e-6 * n:
+            break
+        way, parts = -gradient, []
+        for s, g, r in reversed(past):
+            parts.append(r * (s @ way))
+            way = way - parts[-1] * g
+        if past:
+            s, g, _ = past[-1]
+            way = way * (s @ g) / (g @ g)
+        else:
+            way = way / max(1.0, np.linalg.norm(gradient))
+        for (s, g, r), part in zip(past, reversed(parts), strict=True):
+            way = way + (part - r * (g @ way)) * s
+        size, slope = 1.0, float(gradient @ way)
+        while (new := at(w + size * way))[0] > loss + 1e-4 * size * slope and size > 1e-10:
+            size /= 2
+        step, change = size * way, new[1] - gradient
+        if step @ change > 1e-12:
+            past = [*past[1 - memory :], (step, change, 1 / (step @ change))]
+        w, (loss, gradient) = w + step, new
+    return w
 
 
 def score(x: np.ndarray, w: np.ndarray) -> np.ndarray:

@@ -45,7 +45,7 @@ PATTERNS = {
 }
 #: Buckets of hashed words and beginnings of words, how many of them the classifier looks at, and the
 #: texts that one of these must be in.
-TEXT_BITS, TEXT_COLUMNS, LEAST_TEXTS = 18, 400, 8
+TEXT_BITS, TEXT_COLUMNS, LEAST_TEXTS = 18, 200, 8
 
 
 def held_out(doc_id: Column) -> Column:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from linkforge.llm import bpe, embedding_dedup, mixing, quality, sharding, topk, toxicity, warc
+from linkforge.llm import bpe, embedding_dedup, linear, mixing, quality, sharding, topk, toxicity, warc
 from linkforge.llm.common import Scratch, new_place
 from linkforge.llm import components as components_module
 from linkforge.llm.components import components
@@ -110,6 +110,10 @@ def test_bpe(spark, docs):
     back = bpe.decode(ids, default_tokenizer())
     assert collections.Counter(rows_of(back)) == collections.Counter((r.doc_id, r.text or "") for r in docs.collect())
     assert bpe.round_trip(docs.limit(0), default_tokenizer()).count() == 0
+    with_ids = bpe.round_trip(docs, default_tokenizer(), ids=True)
+    assert collections.Counter((r.doc_id, tuple(r.ids)) for r in with_ids.collect()) == collections.Counter((r.doc_id, tuple(r.ids)) for r in ids.collect())
+    odd = spark.createDataFrame([(1, [39, 1 << 30, None, -1, 40]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode(odd, default_tokenizer()).collect()} == {1: tok.decode([39, 40]), 2: "", 3: ""}
 
 
 @pytest.mark.parametrize("bits", [1, 3, 11])
@@ -273,6 +277,27 @@ def test_toxicity(spark):
     assert clean.columns == docs.columns and clean.where("text is null").count() == 1
     empty = toxicity.toxicity(docs.limit(0), marks.limit(0))
     assert empty.count() == 0 and toxicity.toxicity(docs.limit(5), marks.limit(0)).count() == 5
+    # Null labels and labels without doc_id count for nothing; of several the highest does.
+    more = marks.unionByName(marks.where("toxic = 1").withColumn("toxic", F.lit(0))).unionByName(spark.createDataFrame([(5, None), (None, 1)], marks.schema))
+    again = {(r.doc_id, r.held_out): r.score for r in toxicity.toxicity(docs, more).collect()}
+    assert all(math.isclose(again[k], r.score, abs_tol=1e-9) for k, r in got.items())
+
+
+def test_toxicity_samples(spark, monkeypatch):
+    """Learning from a part of the labelled rows, and rows of one doc_id judged by their own texts."""
+    monkeypatch.setattr(toxicity, "LABELLED", 150)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 60)
+    docs, labels = synthetic(spark, ["zorkly", "zorkful", "quexis", "quexor"])
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(docs, marks)
+    assert any(t.startswith(("zork", "quex")) for t in model.terms) and len(model.chosen)
+    got = toxicity.toxicity(docs, marks).collect()
+    right = [r.predicted == dict(labels)[r.doc_id] for r in got if r.held_out and r.doc_id in dict(labels)]
+    assert sum(right) / len(right) > 0.9
+    bad = docs.where("doc_id = 5").first().text
+    two = spark.createDataFrame([(1007, bad, "en", "s"), (1007, "plain words", "en", "s"), (1007, "plain words", "en", "s")], docs.schema)
+    left = collections.Counter(r.text for r in toxicity.clean_documents(docs.unionByName(two), marks).where("doc_id = 1007").collect())
+    assert left == {"plain words": 2}
 
 
 def test_label_model_finds_accuracies():
@@ -284,6 +309,17 @@ def test_label_model_finds_accuracies():
     assert ((p > 0.5) == y)[200:].mean() > 0.88
 
 
+def test_linear_fit_is_the_optimum():
+    """Where the gradient of weighted loss and penalty vanishes, also for labels between 0 and 1."""
+    rng = np.random.default_rng(8)
+    x, weight = rng.random((500, 30)) * (rng.random((500, 30)) < 0.3), rng.random(500)
+    y = np.clip(x @ rng.normal(size=30) + 0.3, 0, 1)
+    w = linear.fit(x, y, weight, l2=0.1, steps=300)
+    error = weight * (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y)
+    assert np.abs(x.T @ error + 0.1 * w[:-1]).max() < 2e-3 and abs(error.sum()) < 2e-3
+    assert not linear.fit(x[:0], y[:0]).any()
+
+
 def test_label_model_by_hand():
     """The same EM, written as loops over rows, voters and states."""
     rng = np.random.default_rng(4)
@@ -364,5 +400,10 @@ def test_quality(spark):
     assert quality.quality(docs.limit(0), marks.limit(0)).count() == 0
     assert all(r.kept for r in quality.quality(docs, marks.limit(0)).collect())
     assert quality.quality(docs, marks.where("quality = 1")).count() == docs.count()
+    # Null and repeated labels, clashing columns and a very long text.
+    odd = marks.unionByName(marks.where("quality = 1").withColumn("quality", F.lit(0))).unionByName(spark.createDataFrame([(3, None), (None, 0)], marks.schema))
+    long = docs.unionByName(spark.createDataFrame([(2000, "word " * 100_000, "en", "s")], docs.schema)).withColumns({"x": F.lit(1), "score": F.lit("y"), "label": F.lit(0), "n_chars": F.lit(7)})
+    found = {(r.doc_id, r.held_out): r.score for r in quality.quality(long, odd).collect()}
+    assert len(found) == len(got) + 1 and all(0 <= x <= 1 for x in found.values())
     # The size recorded with a document is of the metadata view; its text is not.
     assert (quality.meta_view(["en"], ["s"], [5]) != quality.meta_view(["en"], ["s"], [50_000])).any() and quality.meta_view([None], [None], [None]).shape == (1, quality.META_BUCKETS + 4)

@@ -217,3 +217,38 @@ def test_pipeline(spark, sf, tmp_path):
     counts = collections.Counter((r["doc_id"], len(tok.encode(r["text"] or "", add_special_tokens=False).ids)) for r in rows["mixing"])
     assert collections.Counter((r["doc_id"], r["n_tokens"]) for r in rows["bpe"]) == counts
     assert corpus_pipeline.run(spark, sf).count() == len(rows["bpe"])
+
+
+def test_repetitive_texts_share_a_bucket(spark, monkeypatch):
+    """Texts of one repeated word have one minimiser and far more windows than a bucket may hold."""
+    monkeypatch.setattr(substring_dedup, "HEAVY", 500)
+    rows = [(i, "again " * (60 + 40 * i)) for i in range(12)] + [(20, "again " * 49), (21, "once " + "again " * 60 + "more")]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {0: (60, 0), **{i: (60 + 40 * i, 60 + 40 * i) for i in range(1, 12)}, 20: (49, 0), 21: (62, 60)}
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_stages_on_odd_rows(spark, sf, kind):
+    """The whole chain on nulls, empty and very long texts, ties, repeated rows and clashing columns."""
+    base = spark.read.parquet(f"{sf}/documents.parquet")
+    names = base.columns
+    docs = base.limit(20 if kind == "odd" else 0)
+    if kind == "odd":
+        rows = [(None, None, None, None, None), (None, "no id", "en", "s", 5), (900, None, "en", None, 0), (901, "", None, "s", 0), (902, " \n", "en", "s", 2), (903, "long word " * 40_000, "en", "s", 400_000), (904, "same text here", "en", "s", 14), (904, "same text here", "en", "s", 14), (905, "same text here", "en", "s", 14), (906, "a", "en", "s", 1)]
+        docs = docs.unionByName(spark.createDataFrame(rows, base.schema))
+    more = {"th": F.lit("x"), "score": F.lit(2.0), "key": F.lit(1), "copies": F.lit(5), "sid": F.lit(3), "hits": F.array(F.lit(1)), "row_": F.struct(F.lit(1).alias("text"))}
+    docs = docs.withColumns(more)
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+        seen[name] = [r.asDict() for r in docs.collect()]
+        if name != "bpe":
+            assert docs.columns == [*names, *more] and all(r["score"] == 2.0 and r["copies"] == 5 for r in seen[name])
+    if kind == "empty":
+        assert not any(seen.values())
+        return
+    ids = {name: collections.Counter(r["doc_id"] for r in rows) for name, rows in seen.items()}
+    assert ids["toxicity"][904] == 2 and ids["near_duplicates"][904] == 1 and 905 not in ids["near_duplicates"] and ids["near_duplicates"][None] == 2
+    assert {900, 901, 902, 903, 906} <= set(ids["near_duplicates"]) and ids["substring_dedup"] == ids["near_duplicates"]
+    assert {r["doc_id"]: r["text"] for r in seen["substring_dedup"]}[903] == "long word " * 40_000
+    assert all(len(r["ids"]) == r["n_tokens"] for r in seen["bpe"]) and len(seen["bpe"]) == len(seen["mixing"])
