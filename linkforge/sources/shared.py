@@ -10,8 +10,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings for jobs that are run here: Python workers get a few MB of rows at a time, so that long
-#: rows don't add up, and shuffle files go as soon as their job is done.
-SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: rows don't add up; shuffle files go as soon as their job is done; a join of a small filtered table
+#: with a large one leaves out most of the latter before its shuffle, by a Bloom filter.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
