@@ -15,7 +15,7 @@ from .components import components
 from .hashing import Words, lowered, mix, pieces, runs
 
 #: Sets that a task remembers so as not to index them again.
-SEEN = 200_000
+SEEN = 50_000
 #: Documents of a block, and bytes of its fingerprints, at most.
 BLOCK, BLOCK_BYTES = 2048, 1 << 18
 #: Bytes of a document's fingerprint: a power of two about half its set's size, between these.
@@ -364,7 +364,9 @@ class Join:
 
     def verify(self, pairs: DataFrame) -> None:
         """Compare pairs (a, b) word by word; what links is added to the links."""
-        texts = self.texts
+        # The filter is always true; with it Spark holds the texts against a Bloom filter of the pairs,
+        # and those of other sets are not shuffled.
+        texts, pairs = self.texts, pairs.where("a <> b")
         with_a = pairs.join(texts.select("sid", "text").toDF("a", "text_a"), "a")
         done = with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(self.k, self.percent), "a long, b long, hit boolean")
         self.hits.append(self.scratch(done.where("hit").select("a", "b"), "hits"))
