@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +24,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 BASE = 0x5851F42D4C957F2B
 
 
-@cache
+class Memo:
+    """What a process has made already. It travels empty, with the functions that use it."""
+
+    def __init__(self) -> None:
+        self.made: dict[str, object] = {}
+
+    def __reduce__(self) -> tuple:
+        return Memo, ()
+
+    def __call__(self, name: str, make: Callable) -> object:
+        if name not in self.made:
+            self.made[name] = make()
+        return self.made[name]
+
+
+MEMO = Memo()
+
+
 def byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return MEMO("bytes", lambda: mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,14 +53,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.multiply.accumulate(power), np.multiply.accumulate(back)
 
 
-@cache
-def usual_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _powers(PIECE_BYTES)
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE to the 0 to n, and its inverse to the 0 to n; made once a process for usual pieces."""
-    return usual_powers() if n <= PIECE_BYTES else _powers(n)
+    """BASE to the 0 to n, and its inverse to the 0 to n; made once a task for usual pieces."""
+    return MEMO("powers", lambda: _powers(PIECE_BYTES)) if n <= PIECE_BYTES else _powers(n)
 
 
 class Words:

@@ -5,6 +5,7 @@ import hashlib
 import io
 import itertools
 import math
+import os
 import random
 import zlib
 
@@ -309,6 +310,30 @@ def test_label_model_finds_accuracies():
     assert ((p > 0.5) == y)[200:].mean() > 0.88
 
 
+def test_functions_travel_without_the_package(tmp_path):
+    """Executors need not have this package: what is sent to them loads, and small, where it is unknown."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from linkforge.llm import hashing, ngram_join, substring_dedup
+
+    hashing.Words(np.frombuffer(b"some words", np.uint8), np.array([0, 10])).hashes()  # fills what must stay behind
+    model = toxicity.Model(["a*"], np.arange(3), np.zeros(8))
+    sent = [
+        ngram_join.measurer(3), ngram_join.indexer(3, 90, 1), ngram_join.verifier(3, 90), ngram_join.packer(3), ngram_join.comparer(90), components_module.in_one_task,
+        substring_dedup.scan(50, 16), substring_dedup.packer(50, 16), substring_dedup.bucket_counter(50), substring_dedup.unpacker(50), substring_dedup.keeper(50, True), toxicity.term_counts(None), toxicity.seer(["a*"]), toxicity.scorer(model),
+        quality.viewer(), quality.grader([np.zeros(5)] * 2, np.zeros(3)), embedding_dedup.placer(np.eye(3), 0.4), embedding_dedup.packer(3), embedding_dedup.matcher(3, 0.9, 0.4, True), bpe.ChunkEncoder, bpe.Decoder,
+    ]
+    packed = cloudpickle.dumps(sent)
+    assert len(packed) < 300_000
+    (tmp_path / "sent").write_bytes(packed)
+    code = "from pyspark import cloudpickle; assert len(cloudpickle.loads(open('sent', 'rb').read())) == 21"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+
+
 def test_linear_fit_is_the_optimum():
     """Where the gradient of weighted loss and penalty vanishes, also for labels between 0 and 1."""
     rng = np.random.default_rng(8)
