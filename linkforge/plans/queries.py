@@ -186,7 +186,7 @@ def candidate_lists_by_id(c: Context) -> DataFrame:
 
 @query
 def candidates_unlimited(c: Context) -> DataFrame:
-    return B.ranked(B.candidate_scores(*c.keys(), None), None)
+    return B.ranked_unpurged(*c.keys(), None)
 
 
 @query
