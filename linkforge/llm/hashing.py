@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-#: Text bytes that are worked on at once; a longer text is worked on alone.
-PIECE_BYTES = 1 << 20
+#: Text bytes that are worked on at once; a longer text is worked on alone. Hashing takes some fifty
+#: times as much at its peak, in each of an executor's Python workers.
+PIECE_BYTES = 1 << 18
 SPACES = (9, 10, 11, 12, 13, 32)
 
 
@@ -120,9 +122,17 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
 
 
+def release() -> None:
+    """Give free memory back to the machine: Python workers stay between tasks, with what they have held
+    at their peak, and an executor's limit counts them all."""
+    pa.default_memory_pool().release_unused()
+    MEMO("trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", int))(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Runs of rows with about PIECE_BYTES of text: (rows, bytes, bounds)."""
     place = batch.schema.get_field_index(column)
+    release()
     size = np.cumsum(np.r_[0, np.diff(text_buffer(batch.column(place))[1])])
     at = 0
     while at < batch.num_rows:
@@ -130,3 +140,4 @@ def pieces(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch,
         some = batch.slice(at, to - at)
         yield some, *text_buffer(some.column(place))
         at = to
+    release()

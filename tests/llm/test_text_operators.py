@@ -252,3 +252,21 @@ def test_stages_on_odd_rows(spark, sf, kind):
     assert {900, 901, 902, 903, 906} <= set(ids["near_duplicates"]) and ids["substring_dedup"] == ids["near_duplicates"]
     assert {r["doc_id"]: r["text"] for r in seen["substring_dedup"]}[903] == "long word " * 40_000
     assert all(len(r["ids"]) == r["n_tokens"] for r in seen["bpe"]) and len(seen["bpe"]) == len(seen["mixing"])
+
+
+def test_indexing_takes_little_memory_of_a_worker():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 50021}" for j in range(300)) for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    run = ngram_join.indexer(5, 80, 2)
+    list(run(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    try:
+        rows = sum(x.num_rows for x in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > len(texts) and peak < 48 << 20
