@@ -9,17 +9,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, settings
-from .hashing import Words, lowered, mix, pieces
+from .hashing import Words, lowered, mix, pieces, release
 from .linear import fit, flat, score, sigmoid
 
 #: Rows, at most about, that voters, label model and classifier are learnt from.
 LABELLED, UNLABELLED = 8_000, 8_000
 #: Candidate terms, voters mined from labelled rows, and the least share of toxic rows that a term is in.
 CANDIDATES, VOTERS, LEAST_SHARE = 20_000, 150, 0.01
+#: Rows of votes that the label model works on at once: the driver holds votes as bytes.
+STEP = 1024
 THRESHOLD = 0.7
 UPPER = re.compile("[A-Z]")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~«»¿¡"
@@ -140,20 +143,22 @@ def telling(text: np.ndarray, column: np.ndarray, p: np.ndarray) -> np.ndarray:
 def features(seen: np.ndarray, text: np.ndarray, column: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """What the classifier looks at: which terms occur, whether any does, how many kinds and how
     often, the shares, and which of the chosen buckets the text's own words fall into."""
-    hits = seen[:, :-2]
-    kinds = (hits > 0).sum(1)
-    own = np.zeros((len(seen), len(chosen)))
+    n = seen.shape[1] - 2
+    out = np.zeros((len(seen), n + 5 + len(chosen)))
+    out[:, :n] = seen[:, :-2] > 0
+    kinds = out[:, :n].sum(1)
+    out[:, n : n + 5] = np.c_[kinds > 0, np.log1p(kinds), np.log1p(seen[:, :-2].sum(1)), seen[:, -2:]]
     if len(chosen):
         at = np.minimum(np.searchsorted(chosen, column), len(chosen) - 1)
         known = chosen[at] == column
-        own[text[known], at[known]] = 0.5
-    return np.c_[hits > 0, kinds > 0, np.log1p(kinds), np.log1p(hits.sum(1)), seen[:, -2:], own].astype(np.float64)
+        out[text[known], n + 5 + at[known]] = 0.5
+    return out
 
 
 def votes(seen: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     """1: toxic, 0: abstains, -1: clean; the last voter says clean where no term occurs."""
     hits = seen[:, :-2] > 0
-    return np.c_[hits, seen[:, -2:] >= SHARES, patterns, -(~hits.any(1)).astype(int)].astype(int)
+    return np.c_[hits, seen[:, -2:] >= SHARES, patterns, -(~hits.any(1)).astype(np.int8)].astype(np.int8)
 
 
 def label_model(v: np.ndarray, gold: np.ndarray, rounds: int = 25) -> np.ndarray:
@@ -163,21 +168,22 @@ def label_model(v: np.ndarray, gold: np.ndarray, rounds: int = 25) -> np.ndarray
     n, m = v.shape
     if not n:
         return np.zeros(0)
-    states = [(v == s).astype(float) for s in (-1, 0, 1)]
+    parts, states = [slice(at, at + STEP) for at in range(0, n, STEP)], (-1, 0, 1)
     known = gold >= 0
     p = np.where(known, gold, np.where((v > 0).any(1), 0.7, 0.1)).astype(float)
     for _ in range(rounds):
         q = np.stack([1 - p, p])
         prior = (q.sum(1) + 1) / (n + 2)
-        table = np.stack([(q @ s + 0.1) / (q.sum(1)[:, None] + 0.3) for s in states])  # state, label, voter
-        mean = (q @ v) / np.maximum(q.sum(1), 1e-9)[:, None]
-        cov = sum((v - mean[y]).T @ ((v - mean[y]) * q[y][:, None]) for y in (0, 1)) / n
+        sums = sum(np.stack([q[:, i] @ (v[i] == s).astype(float) for s in states]) for i in parts)  # state, label, voter
+        table = (sums + 0.1) / (q.sum(1)[:, None] + 0.3)
+        mean = (sums[2] - sums[0]) / np.maximum(q.sum(1), 1e-9)[:, None]
+        cov = sum((v[i] - mean[y]).T @ ((v[i] - mean[y]) * q[y, i, None]) for i in parts for y in (0, 1)) / n
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         corr = np.clip(cov / sd[:, None] / sd[None, :], -1, 1)
         np.fill_diagonal(corr, 0)
         weight = 1 / (1 + (corr**2).sum(1))
         ratio = np.log(table[:, 1]) - np.log(table[:, 0])
-        z = np.log(prior[1] / prior[0]) + sum(s @ (r * weight) for s, r in zip(states, ratio, strict=True))
+        z = np.log(prior[1] / prior[0]) + np.concatenate([sum((v[i] == s) @ (r * weight) for s, r in zip(states, ratio, strict=True)) for i in parts])
         p = np.where(known, gold, sigmoid(z))
     return p
 
@@ -204,7 +210,7 @@ def mine(labelled: DataFrame) -> list[str]:
 
 
 def seer(terms: list[str]):
-    """(gold, hits and shares, pattern votes, buckets) of each row."""
+    """(gold, terms that occur and how often, shares, pattern votes, buckets) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(terms)
@@ -213,8 +219,10 @@ def seer(terms: list[str]):
                 texts = rows.column(1).to_pylist()
                 text, column = text_columns(data, bounds)
                 buckets = pa.ListArray.from_arrays(np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32), pa.array(column.astype(np.int32)))
-                seen, patterns = [voters.see(t or "").tolist() for t in texts], [pattern_votes(t or "") for t in texts]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(seen, pa.list_(pa.float64())), pa.array(patterns, pa.list_(pa.bool_())), buckets], ["gold", "seen", "patterns", "buckets"])
+                seen, patterns = [voters.see(t or "") for t in texts], [pattern_votes(t or "") for t in texts]
+                found = [np.flatnonzero(x[:-2]) for x in seen]
+                lists = [pa.array(x, pa.list_(t)) for x, t in ((found, pa.int32()), ([x[f] for x, f in zip(seen, found, strict=True)], pa.float64()), ([x[-2:] for x in seen], pa.float64()), (patterns, pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), *lists, buckets], ["gold", "found", "hits", "shares", "patterns", "buckets"])
 
     return run
 
@@ -237,13 +245,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         labelled = scratch(own.join(gold, F.col("doc_id") == F.col("l_")).select("text", "toxic").dropDuplicates(), "labelled")
         others = own.where(chance("doc_id") < UNLABELLED / max(1, n)).join(known.select("l_"), F.col("doc_id") == F.col("l_"), "left_anti").select("text", F.lit(-1).alias("toxic"))
         terms = list(dict.fromkeys([*mine(labelled), *(t for words in LEXICON.values() for t in words.split())]))
-        rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, seen array<double>, patterns array<boolean>, buckets array<int>").toArrow()
-    seen, patterns = flat(rows.column("seen")).reshape(rows.num_rows, len(terms) + 2), flat(rows.column("patterns")).reshape(rows.num_rows, len(PATTERNS))
-    text = np.repeat(np.arange(rows.num_rows), [len(x) for x in rows.column("buckets")])
-    column = flat(rows.column("buckets")).astype(np.int64)
-    p = label_model(votes(seen, patterns.astype(bool)), rows.column("gold").to_numpy())
+        rows = labelled.unionAll(others).select(F.col("toxic").alias("gold"), "text").mapInArrow(seer(terms), "gold int, found array<int>, hits array<double>, shares array<double>, patterns array<boolean>, buckets array<int>").toArrow()
+    owner = lambda name: np.repeat(np.arange(rows.num_rows, dtype=np.int32), pc.list_value_length(rows.column(name)).to_numpy())
+    seen, patterns = np.zeros((rows.num_rows, len(terms) + 2)), flat(rows.column("patterns")).reshape(rows.num_rows, len(PATTERNS))
+    seen[owner("found"), flat(rows.column("found")).astype(np.int32)] = flat(rows.column("hits"))
+    seen[:, -2:] = flat(rows.column("shares")).reshape(rows.num_rows, 2)
+    text, column, gold = owner("buckets"), flat(rows.column("buckets")).astype(np.int32), rows.column("gold").to_numpy()
+    del rows
+    p = label_model(votes(seen, patterns.astype(bool)), gold)
     chosen = telling(text, column, p)
-    return Model(terms, chosen, fit(features(seen, text, column, chosen), p, l2=0.02))
+    model = Model(terms, chosen, fit(features(seen, text, column, chosen), p, l2=0.02))
+    del seen, text, column
+    release()
+    return model
 
 
 def scorer(model: Model):

@@ -345,6 +345,20 @@ def test_linear_fit_is_the_optimum():
     assert not linear.fit(x[:0], y[:0]).any()
 
 
+def test_label_model_holds_votes_as_bytes():
+    """The driver's share is the votes, and blocks of them: not copies of all as 64-bit numbers."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    seen, patterns = (rng.random((16_000, 202)) < 0.02).astype(float), rng.random((16_000, 8)) < 0.02
+    tracemalloc.start()
+    v = toxicity.votes(seen, patterns)
+    toxicity.label_model(v, np.where(np.arange(16_000) < 8000, np.arange(16_000) % 2, -1), rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert v.itemsize == 1 and peak < 40e6
+
+
 def test_label_model_by_hand():
     """The same EM, written as loops over rows, voters and states."""
     rng = np.random.default_rng(4)
