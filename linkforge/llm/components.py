@@ -46,11 +46,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     number grows with the logarithm of the graph's width. Each round is written to the shared
     folder, and so is each node's least neighbour, which is pre-aggregated before its shuffle: what
     is joined then are two plain tables, whose hot nodes adaptive execution can split. Neighbours
-    are never collected. Null ends and loops are dropped."""
-    links = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    links = scratch(links, "links")
-    if links.count() <= SMALL:
-        return scratch(links.coalesce(1).mapInArrow(in_one_task, "node long, root long"), "roots")
+    are never collected. Null ends and loops are dropped. links is evaluated more than once, so a table is
+    best."""
+    links = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    # What repeats is left in a small graph: to find it would take a shuffle.
+    for once in (False, True):
+        links = scratch(links.distinct(), "links") if once else links
+        if links.count() <= SMALL:
+            return scratch(links.coalesce(1).mapInArrow(in_one_task, "node long, root long"), "roots")
     while not settled(links):
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")), "least")

@@ -25,6 +25,9 @@ HOT = 32
 #: Rounds in which each set is compared with one bucket mate, and rounds of a level's verification, each
 #: but the last of which takes one pair a set; what either joins needs no further comparison.
 LEADS, ROUNDS = 1, 2
+#: So few pairs are verified in one round. Pairs for a task that verifies, at least, and documents for one
+#: that packs blocks: small tables are not worth many tasks.
+FEW, TASK_PAIRS, TASK_DOCS = 10_000, 250, 256
 SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -313,17 +316,24 @@ def comparer(percent: int):
     return run
 
 
+def in_tasks(df: DataFrame, n: int, each: int) -> DataFrame:
+    """df, of n rows, in a task for every ``each`` of them, but four a core at least."""
+    least = max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-n // each))
+    return df.coalesce(least) if least < parts_for(df.sparkSession) else df
+
+
 def cluster_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """a, b: pairs that may link and join components, among documents that share a bucket of open_ (sig,
     sid, root). Documents that buckets tie together form clusters, cut into blocks by set size; blocks
     of near sizes are compared as wholes by fingerprints, so what is shuffled is blocks, not pairs."""
     least = open_.groupBy("sig").agg(F.min("sid").alias("lead")).withColumnRenamed("sig", "sig_")
     ties = open_.join(least, F.col("sig") == F.col("sig_")).where("sid <> lead").select(F.col("sid").alias("a"), F.col("lead").alias("b"))
-    clusters = components(ties, scratch)
+    clusters = components(scratch(ties, "ties"), scratch)
     roots = open_.groupBy(F.col("sid").alias("s_")).agg(F.min("root").alias("root"))
     rows = clusters.select("node", F.col("root").alias("cluster")).join(roots, F.col("node") == F.col("s_")).join(texts, F.col("node") == F.col("sid")).select("cluster", "n", "sid", "root", "text")
     schema = "cluster long, block string, lo long, hi long, root_lo long, root_hi long, sids binary, roots binary, sizes binary, prints binary"
-    blocks = scratch(rows.repartitionByRange(parts_for(open_.sparkSession), "cluster", "n", "sid").sortWithinPartitions("cluster", "n", "sid").mapInArrow(packer(k), schema), "blocks")
+    dealt = in_tasks(rows.repartitionByRange(parts_for(open_.sparkSession), "cluster", "n", "sid"), clusters.count(), TASK_DOCS)
+    blocks = scratch(dealt.sortWithinPartitions("cluster", "n", "sid").mapInArrow(packer(k), schema), "blocks")
     meta = blocks.select("cluster", "block", "lo", "hi", "root_lo", "root_hi")
     left, right = meta.toDF("cluster", "a", "lo_a", "hi_a", "first_a", "last_a"), meta.toDF("cluster", "b", "lo_b", "hi_b", "first_b", "last_b")
     near = (F.col("a") <= F.col("b")) & (percent * F.col("lo_a") <= 100 * F.col("hi_b")) & (percent * F.col("lo_b") <= 100 * F.col("hi_a"))
@@ -362,13 +372,14 @@ class Join:
         entries = entries.select("sig", F.col("h1").alias("sid"), "info").withColumn("last", F.max("sid").over(by_sig)).withColumn("lead", F.min("sid").over(by_sig))
         return self.scratch(entries.where((F.col("lead") < F.col("last")) | is_poor()).select("sig", "sid", "info").distinct(), "buckets")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Compare pairs (a, b) word by word; what links is added to the links."""
+    def verify(self, pairs: DataFrame, n: int) -> None:
+        """Compare pairs (a, b), of which there are n, word by word; what links is added to the links."""
         # The filter is always true; with it Spark holds the texts against a Bloom filter of the pairs,
         # and those of other sets are not shuffled.
         texts, pairs = self.texts, pairs.where("a <> b")
         with_a = pairs.join(texts.select("sid", "text").toDF("a", "text_a"), "a")
-        done = with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(self.k, self.percent), "a long, b long, hit boolean")
+        both = with_a.join(texts.select("sid", "text").toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
+        done = in_tasks(both, n, TASK_PAIRS).mapInArrow(verifier(self.k, self.percent), "a long, b long, hit boolean")
         self.hits.append(self.scratch(done.where("hit").select("a", "b"), "hits"))
         links = self.hits[0]
         for more in self.hits[1:]:
@@ -396,7 +407,8 @@ class Join:
         lead = entries.groupBy(F.col("sig").alias("sig_")).agg(F.min(F.struct(order.alias("o"), "sid", "root")).alias("x")).select("sig_", F.col("x.sid").alias("lead"), F.col("x.root").alias("lead_root"))
         rows = entries.join(lead, F.col("sig") == F.col("sig_")).where("root <> lead_root")
         shared = rows.groupBy("sid", "lead", below().alias("below"), spare().alias("spare")).agg(F.count("*").alias("c")).where("c > spare")
-        self.verify(self.scratch(shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("lead", F.struct("c", "lead")).alias("a")).select("a", "b"), "pairs"))
+        pairs = self.scratch(shared.groupBy(F.col("sid").alias("b")).agg(F.max_by("lead", F.struct("c", "lead")).alias("a")).select("a", "b"), "pairs")
+        self.verify(pairs, pairs.count())
 
     def level(self, entries: DataFrame, number: int) -> DataFrame | None:
         """Find and verify the pairs of buckets that are worth their cost. The allocation is made set
@@ -406,32 +418,33 @@ class Join:
         poor = entries.where(is_poor()).select("sid")
         if open_.isEmpty():
             return None if poor.isEmpty() else poor.distinct()
-        lost = open_.where(F.col("cost") > HOT).groupBy("sid", below().alias("below"), spare().alias("spare")).agg(F.sum(units()).alias("lost"))
-        lost = lost.select(F.col("sid").alias("s_"), F.col("below").alias("b_"), (F.col("spare") - F.col("lost")).alias("left"))
-        cool = open_.where(F.col("cost") <= HOT).withColumn("below", below()).join(lost, (F.col("sid") == F.col("s_")) & (F.col("below") == F.col("b_")), "left")
-        cool = cool.select("sig", "sid", "root", "below", is_less().alias("less"), F.coalesce("left", spare()).alias("left")).join(self.sets.select(F.col("sid").alias("s_"), "n"), F.col("sid") == F.col("s_")).drop("s_")
-        cool = self.scratch(cool, "cool")
+        # Joined and summed by sid, so that the entries are dealt out once.
+        rows = open_.join(self.sets.select(F.col("sid").alias("s_"), "n"), F.col("sid") == F.col("s_")).withColumn("below", below())
+        lost = F.sum(F.when(F.col("cost") > HOT, units()).otherwise(0)).over(Window.partitionBy("sid", "below"))
+        rows = self.scratch(rows.select("sig", "sid", "root", "below", is_less().alias("less"), (spare() - lost).alias("left"), "n", (F.col("cost") > HOT).alias("dear")), "rows")
+        cool = rows.where("not dear").drop("dear")
         a, b = (cool.toDF("sig", *[f"{c}_{x}" for c in cool.columns[1:]]) for x in "ab")
         near = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & ~(F.col("less_a") & F.col("less_b")) & (F.col("below_a") + F.col("below_b") < 2)
         near = near & (self.percent * F.col("n_a") <= 100 * F.col("n_b")) & (self.percent * F.col("n_b") <= 100 * F.col("n_a"))
         pairs = a.join(b, "sig").where(near).groupBy(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).agg(F.count("*").alias("c"), F.max(F.greatest("left_a", "left_b")).alias("left"))
         # Segments that differ use up what is spare, so that a link shares more than that; a shared deletion may be counted twice.
         self.settle(pairs.where("c > left").select("a", "b") if not LEVELS[number].less else pairs.select("a", "b"))
-        failed = poor.unionAll(lost.where("left < 0").select(F.col("s_").alias("sid")))
+        failed = poor.unionAll(rows.where("left < 0").select("sid"))
         failed = self.scratch(failed.distinct(), "failed")
         return None if failed.isEmpty() else failed
 
     def settle(self, pairs: DataFrame) -> None:
-        """Verify pairs, those first that give each set one partner; what that joins is done."""
+        """Verify pairs, where they are many those first that give each set one partner; what that joins
+        is done."""
         pairs = self.scratch(pairs, "candidates")
         for turn in range(ROUNDS):
-            if pairs.isEmpty():
+            if not (n := pairs.count()):
                 break
-            if turn == ROUNDS - 1:
-                self.verify(pairs)
+            if turn == ROUNDS - 1 or n <= FEW:
+                self.verify(pairs, n)
                 break
             some = self.scratch(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-            self.verify(some)
+            self.verify(some, some.count())
             rest = pairs.join(some, ["a", "b"], "left_anti").join(self.roots.toDF("a", "root_a"), "a", "left").join(self.roots.toDF("b", "root_b"), "b", "left")
             pairs = self.scratch(rest.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b"), "candidates")
 

@@ -81,6 +81,26 @@ def test_join(spark, near, monkeypatch, k, percent, hot):
     assert collections.Counter(tuple(r) for r in ngram_join.jaccard_components(df, k, percent).collect()) == want
 
 
+@pytest.mark.parametrize(("few", "hot"), [(0, 32), (0, 0)])
+def test_join_with_many_pairs_goes_by_rounds(spark, near, monkeypatch, few, hot):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    df = spark.createDataFrame(near, "doc_id long, text string").repartition(4)
+    want = collections.Counter(classes(near, 5, 80))
+    assert collections.Counter(tuple(r) for r in ngram_join.jaccard_components(df, 5, 80).collect()) == want
+
+
+@pytest.mark.parametrize("few", [3, 2])
+def test_few_pairs_are_verified_in_one_round(spark, monkeypatch, few):
+    if few < 3:
+        monkeypatch.setattr(ngram_join, "FEW", few)
+    join, seen = ngram_join.Join.__new__(ngram_join.Join), []
+    join.scratch, join.roots = ngram_join.Scratch(spark), spark.createDataFrame([], "node long, root long")
+    join.verify = lambda pairs, *n: seen.append(sorted(tuple(r) for r in pairs.collect()))
+    join.settle(spark.createDataFrame([(1, 3), (1, 4), (2, 3)], "a long, b long"))
+    assert seen == ([[(1, 3), (1, 4), (2, 3)]] if few == 3 else [[(1, 3), (1, 4)], [(2, 3)]])
+
+
 def test_join_where_identities_clash(spark, near, monkeypatch):
     """Sets whose first number is the same are still told apart."""
     real = ngram_join.identities
