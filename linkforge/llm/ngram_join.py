@@ -393,12 +393,13 @@ class Join:
 
     def open(self, entries: DataFrame) -> DataFrame:
         """Entries with root, in buckets that hold different components, with the bucket's cost: how
-        many of other components a member meets, on average."""
+        many of other components a member meets, on average; and minor: whether the entry is not of the
+        component that has most members there."""
         rows = self.rooted(entries.where(~is_poor()))
         rows = rows if self.roots is None else self.scratch(rows, "rooted")
-        sizes = rows.groupBy("sig", "root").agg(F.count("*").alias("c")).groupBy(F.col("sig").alias("sig_")).agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("parts"))
-        sizes = sizes.where("parts > 1").select("sig_", ((F.col("c") * F.col("c") - F.col("q")) / (2 * F.col("c"))).alias("cost"))
-        return self.scratch(rows.join(sizes, F.col("sig") == F.col("sig_")).drop("sig_"), "open")
+        sizes = rows.groupBy("sig", "root").agg(F.count("*").alias("c")).groupBy(F.col("sig").alias("sig_")).agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("parts"), F.max_by("root", "c").alias("main"))
+        sizes = sizes.where("parts > 1").select("sig_", "main", ((F.col("c") * F.col("c") - F.col("q")) / (2 * F.col("c"))).alias("cost"))
+        return self.scratch(rows.join(sizes, F.col("sig") == F.col("sig_")).withColumn("minor", F.col("root") != F.col("main")).drop("sig_", "main"), "open")
 
     def leads(self, entries: DataFrame) -> None:
         """Compare each set with one bucket mate of another component: of the buckets' least members
@@ -418,15 +419,22 @@ class Join:
         poor = entries.where(is_poor()).select("sid")
         if open_.isEmpty():
             return None if poor.isEmpty() else poor.distinct()
-        # Joined and summed by sid, so that the entries are dealt out once.
-        rows = open_.join(self.sets.select(F.col("sid").alias("s_"), "n"), F.col("sid") == F.col("s_")).withColumn("below", below())
-        lost = F.sum(F.when(F.col("cost") > HOT, units()).otherwise(0)).over(Window.partitionBy("sid", "below"))
-        rows = self.scratch(rows.select("sig", "sid", "root", "below", is_less().alias("less"), (spare() - lost).alias("left"), "n", (F.col("cost") > HOT).alias("dear")), "rows")
+        # Summed by sid and then joined by it, so that the entries are dealt out once. Those in dear buckets are
+        # only summed; one of them stays for each band in which a set fails, as it may have no others there.
+        by_sid, dear = Window.partitionBy("sid"), F.col("cost") > HOT
+        in_band = lambda f, x: F.when(below() == 0, f(F.when(below() == 0, x)).over(by_sid)).otherwise(f(F.when(below() == 1, x)).over(by_sid))
+        lost, first = in_band(F.sum, F.when(dear, units()).otherwise(0)), in_band(F.min, F.when(dear, F.col("sig")))
+        rows = open_.select("sig", "sid", "root", "minor", below().alias("below"), is_less().alias("less"), (spare() - lost).alias("left"), dear.alias("dear"), first.alias("first_"))
+        rows = rows.where("not dear or (left < 0 and sig = first_)").drop("first_")
+        rows = self.scratch(rows.join(self.sets.select(F.col("sid").alias("s_"), "n"), F.col("sid") == F.col("s_")).drop("s_"), "rows")
         cool = rows.where("not dear").drop("dear")
+        # A bucket's main component may be nearly all of it, at little cost; its members aren't held against one
+        # another, so that what meets is at most 4 times the pairs of different components.
         a, b = (cool.toDF("sig", *[f"{c}_{x}" for c in cool.columns[1:]]) for x in "ab")
-        near = (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & ~(F.col("less_a") & F.col("less_b")) & (F.col("below_a") + F.col("below_b") < 2)
+        near = (~F.col("minor_b") | (F.col("sid_a") < F.col("sid_b"))) & (F.col("root_a") != F.col("root_b")) & ~(F.col("less_a") & F.col("less_b")) & (F.col("below_a") + F.col("below_b") < 2)
         near = near & (self.percent * F.col("n_a") <= 100 * F.col("n_b")) & (self.percent * F.col("n_b") <= 100 * F.col("n_a"))
-        pairs = a.join(b, "sig").where(near).groupBy(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).agg(F.count("*").alias("c"), F.max(F.greatest("left_a", "left_b")).alias("left"))
+        ends = F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")
+        pairs = a.where("minor_a").join(b, "sig").where(near).groupBy(*ends).agg(F.count("*").alias("c"), F.max(F.greatest("left_a", "left_b")).alias("left"))
         # Segments that differ use up what is spare, so that a link shares more than that; a shared deletion may be counted twice.
         self.settle(pairs.where("c > left").select("a", "b") if not LEVELS[number].less else pairs.select("a", "b"))
         failed = poor.unionAll(rows.where("left < 0").select("sid"))

@@ -101,6 +101,56 @@ def test_few_pairs_are_verified_in_one_round(spark, monkeypatch, few):
     assert seen == ([[(1, 3), (1, 4), (2, 3)]] if few == 3 else [[(1, 3), (1, 4)], [(2, 3)]])
 
 
+def test_entries_of_dear_buckets_are_only_summed(spark, near, monkeypatch):
+    """What a level joins with the sets' sizes: entries of buckets that it goes through, and two a set at most."""
+    hot = 0.4
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "LEADS", 0)
+    real, last, met = ngram_join.Scratch.__call__, {}, []
+
+    def kept(self, df, name):
+        last[name] = out = real(self, df, name)
+        if name == "rows":
+            open_ = last["open"]
+            met.append((out.count(), open_.where(F.col("cost") <= hot).count() + 2 * open_.select("sid").distinct().count(), open_.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join.Scratch, "__call__", kept)
+    df = spark.createDataFrame(near, "doc_id long, text string").repartition(4)
+    want = collections.Counter(classes(near, 5, 80))
+    assert collections.Counter(tuple(r) for r in ngram_join.jaccard_components(df, 5, 80).collect()) == want
+    assert met and all(n <= most for n, most, _ in met) and any(most < all_ for _, most, all_ in met)
+
+
+def test_members_of_a_large_component_do_not_meet(spark, monkeypatch):
+    """Near copies that are one component already, and two texts that share buckets with them."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+
+    def changed(n):
+        t = list(base)
+        for i in rng.sample(range(200), n):
+            t[i] = f"x{rng.randrange(10**6)}"
+        return " ".join(t)
+
+    frame, seen = type(spark.range(0)), []
+    real = frame.join
+
+    def join(self, other, on=None, how=None):
+        if isinstance(on, str) and on == "sig":
+            seen[-1] += real(self, other, on).count()
+        return real(self, other, on, how)
+
+    monkeypatch.setattr(frame, "join", join)
+    for n in (40, 80):
+        rows = list(enumerate([changed(7), changed(8)] + [changed(1) for _ in range(n)]))
+        seen.append(0)
+        got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+        assert collections.Counter(tuple(r) for r in got) == collections.Counter(classes(rows, 3, 90))
+        assert sorted({r["component_id"] for r in got}) == [0, 1, 2]
+    assert 0 < seen[0] and seen[1] <= 3 * seen[0]
+
+
 def test_join_where_identities_clash(spark, near, monkeypatch):
     """Sets whose first number is the same are still told apart."""
     real = ngram_join.identities
